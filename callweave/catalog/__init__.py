@@ -1,6 +1,6 @@
 """The registered queries, by family."""
 
-from . import base, journeys  # noqa: F401
+from . import base, journeys, patterns  # noqa: F401
 
 
 def all_queries():

@@ -25,3 +25,8 @@ def unpivot_struct(df, keep, pairs, label, value):
     """Long form: one row per (name, column) pair."""
     cells = F.array(*[F.struct(F.lit(name).alias(label), column.alias(value)) for name, column in pairs])
     return df.select(*keep, F.inline(cells))
+
+
+def with_scalar(df, one_row):
+    """Give every row the columns of a one-row frame."""
+    return df.withColumn("__one", F.lit(1)).join(F.broadcast(one_row.withColumn("__one", F.lit(1))), "__one").drop("__one")
