@@ -131,6 +131,29 @@ SQL = {
         case role when 'user' then 'prospect' when 'assistant' then 'agent' else 'other' end as role, text,
         turn * 20.0 as start, turn * 20.0 + 18.0 as end_at, conv_id, turn
       from {conversations}""",
+    # Which calls have an extraction, and what it says about the call as a whole.
+    "extractions": """
+      select 'C' || cast(o_orderkey as string) as call_id, o_orderkey % 13 > 0 as analysed, 'Summary of ' || o_orderstatus as summary,
+        'Follow up ' || cast(o_orderkey % 21 as string) as next_action, o_orderkey % 13 as model_no
+      from {orders}""",
+    # Quotes cited from conversation turns: inside the turn, running into the next one, only in the next one, with
+    # fillers and punctuation, or altered.
+    "citations": """
+      select 'C' || cast(c.conv_id as string) as call_id, c.turn as segment_id, c.conv_id * 100 + c.turn as citation_id,
+        case (c.conv_id + c.turn) % 5 when 0 then substr(c.text, 3, 40)
+          when 1 then substr(c.text, greatest(cast(length(c.text) - 24 as int), 1), 25) || ' ' || substr(coalesce(n.text, 'nothing'), 1, 25)
+          when 2 then substr(coalesce(n.text, 'nothing more'), 1, 30)
+          when 3 then 'um ' || substr(c.text, 1, 20) || '!' else 'Zzz ' || substr(c.text, 1, 25) end as quote
+      from {conversations} c left join {conversations} n on n.conv_id = c.conv_id and n.turn = c.turn + 1""",
+    # One extracted item per line as JSON text, some breaking the schema.
+    "item_json": f"""
+      select 'C' || cast(l_orderkey as string) as call_id, {_POS} as item_pos,
+        '{{{{"field": "' || case when l_suppkey % 17 = 0 then 'salary' else {pick(f'l_partkey % {len(FACT_FIELDS)}', FACT_FIELDS)} end
+        || '", "value": "' || case when l_suppkey % 19 = 0 then '' when l_suppkey % 19 = 1 then repeat('long ', 90) else 'value' end
+        || '", "evidence": {{{{"segment_id": ' || cast(l_partkey % 6 - 1 as string) || ', "quote": "'
+        || case when l_suppkey % 23 = 0 then '  ' else 'said so' end || '"}}}}'
+        || case when l_suppkey % 29 = 0 then ', "probability": 0.9' else '' end || '}}}}' as body
+      from {{lineitem}}""",
     # Every call has one short line, so citations resolve but for calls whose line has another id.
     "lines": """
       select 'C' || cast(o_orderkey as string) as call_id,
