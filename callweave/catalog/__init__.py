@@ -1,6 +1,6 @@
 """The registered queries, by family."""
 
-from . import base, claims, journeys, patterns, reporting, worklist  # noqa: F401
+from . import base, claims, journeys, patterns, reporting, transcripts, worklist  # noqa: F401
 
 
 def all_queries():

@@ -28,7 +28,7 @@ def prefix_scan(df, keys, order, bucket, value, out, how="sum", size=None):
     within = Window.partitionBy(*keys, "__bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     here = combine("__value").over(within)
     result = F.coalesce(F.col("__before"), F.lit(0)) + here if how == "sum" else F.greatest(F.col("__before"), here)
-    return marked.join(starts, [*keys, "__bucket"]).withColumn(out, result).drop("__bucket", "__value", "__before")
+    return marked.join(starts, [*keys, "__bucket"]).withColumn(out, result).drop("__bucket", "__value", "__before", "__total")
 
 
 def positions(df, keys, order, bucket, out="position", size=None):

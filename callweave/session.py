@@ -1,5 +1,7 @@
 """Session building and the runtime settings every job relies on."""
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 # Settings a job may change at run time. They only switch Spark's own adaptive behaviour on.
@@ -37,11 +39,20 @@ def build(app="callweave", master=None, shuffle_partitions=None):
     return spark
 
 
-def checkpoint_dir(spark, fallback=None):
-    """The shared folder the cluster names in spark.checkpoint.dir; `fallback` only where that is unset (tests)."""
+def checkpoint_dir(spark):
+    """The shared folder the cluster names in spark.checkpoint.dir. Only where that is unset, as in local tests, a fresh
+    temporary folder."""
     context = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-    folder = configured or fallback
-    if folder and context.getCheckpointDir() is None:
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    if not folder:
+        folder = tempfile.mkdtemp(prefix="callweave-")
+    if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
+
+
+def settle(df):
+    """Write an expensive intermediate result once, reliably, instead of computing it for every later use. The files are
+    on shared storage, so a lost executor costs a read and not the whole lineage."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
