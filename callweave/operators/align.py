@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text as tx
-from ..session import settle
+from ..session import settle, spread
 
 # Executors need not have this package installed: its task code travels with the job.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -27,14 +27,10 @@ def _blocks(a, b):
     return SequenceMatcher(None, a, b, autojunk=False)
 
 
-def _ratio(pairs):
-    return pd.Series([_blocks(a, b).ratio() if a or b else 1.0 for a, b in pairs])
-
-
 @F.pandas_udf(T.DoubleType())
 def text_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Character similarity of two compact texts."""
-    return _ratio(zip(a.fillna(""), b.fillna("")))
+    """Character similarity of two compact texts; a null text needs none."""
+    return pd.Series([None if x is None else _blocks(x, y).ratio() for x, y in zip(a, b)], dtype="float64")
 
 
 @F.pandas_udf(T.StructType([T.StructField(n, T.DoubleType()) for n in ("wg", "ws", "gs")]))
@@ -55,7 +51,7 @@ def vote_ratios(rows, first, second, third, short, threshold):
                                  .when(2 * F.least(F.length(x), F.length(y)) < threshold * (F.length(x) + F.length(y)), False))
         unknown = F.col("__n" + name).isNull()
         inputs += [F.when(unknown, x), F.when(unknown, y)]
-    rows = rows.withColumns(natives).withColumn("__r", _three_ratios(*inputs))
+    rows = spread(rows.withColumns(natives), first, second, third).withColumn("__r", _three_ratios(*inputs))
     rows = rows.withColumns({name: F.coalesce("__n" + name, F.col("__r." + name) >= threshold) for name, _, _ in pairs})
     return rows.drop("__r", *natives)
 
@@ -102,7 +98,7 @@ def word_owners(base, other):
                     add(call, "base", i, word, owners[i], None, hit[i])
             yield pd.DataFrame(out).astype({"owner": "Int64", "turn": "Int64"})
 
-    return settle(pairs.mapInPandas(match, "call_id string, side string, at bigint, word string, owner bigint, turn bigint, matched boolean"))
+    return settle(spread(pairs, "call_id").mapInPandas(match, "call_id string, side string, at bigint, word string, owner bigint, turn bigint, matched boolean"))
 
 
 def segment_agreement(segments, owners):
@@ -115,7 +111,12 @@ def segment_agreement(segments, owners):
         0, ["base_words", "matched_words", "other_count"]).na.fill("", ["other_text"])
     longest = F.greatest("base_words", "other_count")
     rows = rows.withColumn("agreement", F.when(longest == 0, 1.0).otherwise(F.col("matched_words") / F.nullif(longest, F.lit(0))))
-    return rows.withColumn("char_agreement", text_ratio(tx.compact(F.col("text")), tx.compact(F.col("other_text"))))
+    rows = rows.withColumns({"__a": tx.compact(F.col("text")), "__b": tx.compact(F.col("other_text"))})
+    native = F.when(F.col("__a") == F.col("__b"), 1.0).when((F.col("__a") == "") | (F.col("__b") == ""), 0.0)
+    rows = spread(rows.withColumn("__n", native), "call_id", "segment_id")
+    asked = F.col("__n").isNull()
+    ratio = text_ratio(F.when(asked, F.col("__a")), F.when(asked, F.col("__b")))
+    return rows.withColumn("char_agreement", F.coalesce("__n", ratio)).drop("__a", "__b", "__n")
 
 
 def call_agreement(owners):
@@ -150,7 +151,7 @@ def first_heard(turns, passages):
                 rows += [(call, turn, segment) for turn, segment in seen.items()]
             yield pd.DataFrame(rows, columns=["call_id", "turn", "segment_id"])
 
-    heard = pairs.mapInPandas(match, "call_id string, turn bigint, segment_id bigint")
+    heard = spread(pairs, "call_id").mapInPandas(match, "call_id string, turn bigint, segment_id bigint")
     heard = heard.join(passages.select("call_id", "segment_id", F.col("start").alias("heard_at")), ["call_id", "segment_id"]).drop("segment_id")
     return turns.join(heard, ["call_id", "turn"], "left")
 
@@ -236,6 +237,7 @@ def word_edits(pairs, reference="reference", hypothesis="hypothesis"):
     """Edit counts per row; equal texts never reach Python."""
     rows = pairs.withColumns({"__r": _plain_words(F.col(reference)), "__h": _plain_words(F.col(hypothesis))})
     same = F.col("__r") == F.col("__h")
+    rows = spread(rows, F.xxhash64("__r", "__h"))
     rows = rows.withColumn("e", _edits(F.when(same, F.array().cast("array<string>")).otherwise(F.col("__r")),
                                        F.when(same, F.array().cast("array<string>")).otherwise(F.col("__h"))))
     return rows.withColumns({"hits": F.when(same, F.size("__r").cast("bigint")).otherwise(F.col("e.hits")), "substitutions": F.col("e.substitutions"),

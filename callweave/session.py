@@ -56,3 +56,9 @@ def settle(df):
     on shared storage, so a lost executor costs a read and not the whole lineage."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def spread(df, *columns):
+    """Spread rows evenly before costly per-row Python work. The explicit count keeps Spark from merging the small
+    partitions again: bytes say little about the work in them."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)
