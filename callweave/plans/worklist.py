@@ -42,10 +42,11 @@ def with_last_live(codings, calls):
                              "attempts_since": F.coalesce("attempts_since", F.lit(0).cast("bigint"))}).drop("live_at")
 
 
-def graded(codings, calls, company="the company"):
-    """Every open lead with category, reason and days since its last live conversation."""
+def graded(codings, calls, company="the company", cutoff=None):
+    """Every open lead with category, reason and days since its last live conversation. `cutoff` is a one-row frame
+    (as_of) when the calls are only a part of the export."""
     open_leads = outcomes(calls).filter(~F.col("any_yes")).select("lead")
-    rows = with_scalar(with_last_live(codings, calls).join(open_leads, "lead", "left_semi"), as_of(calls))
+    rows = with_scalar(with_last_live(codings, calls).join(open_leads, "lead", "left_semi"), as_of(calls) if cutoff is None else cutoff)
     category, reason = categorise(F.col("as_of"), company)
     return rows.withColumns({"category": category, "reason": reason, "days_since": F.date_diff("as_of", "live_date")})
 

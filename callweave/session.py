@@ -1,6 +1,7 @@
 """Session building and the runtime settings every job relies on."""
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -62,3 +63,8 @@ def spread(df, *columns):
     """Spread rows evenly before costly per-row Python work. The explicit count keeps Spark from merging the small
     partitions again: bytes say little about the work in them."""
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)
+
+
+def work_folder(spark, name):
+    """A new folder for one job's stream state and output, under the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
