@@ -38,7 +38,7 @@ def wilson(successes, n, z=Z):
     spread = z * z / F.nullif(n, F.lit(0))
     centre = (p + spread / 2) / (1 + spread)
     half = z * F.sqrt(p * (1 - p) / F.nullif(n, F.lit(0)) + spread / (4 * F.nullif(n, F.lit(0)))) / (1 + spread)
-    return F.greatest(F.lit(0.0), centre - half), F.least(F.lit(1.0), centre + half)
+    return F.when(n > 0, F.greatest(F.lit(0.0), centre - half)), F.when(n > 0, F.least(F.lit(1.0), centre + half))
 
 
 SMALL = 16
@@ -64,16 +64,17 @@ def fisher_p(df, key, a, b, c, d, chunk=4096):
     The support is cut where probabilities are below the smallest double (40 standard deviations and 1,000 tables from
     the mean), which cannot change the sum, and spread over tasks in chunks, so neither N nor one factor sets a task's size."""
     a, b, c, d = (F.col(x).cast("bigint") for x in (a, b, c, d))
-    base = df.select(key, a.alias("k_obs"), (a + b).alias("r"), (a + c).alias("col"), (a + b + c + d).alias("n"))
-    n = F.col("n").cast("double")
-    mean = F.col("r") * F.col("col") / n
-    sd = F.sqrt(mean * (n - F.col("r")) / n * (n - F.col("col")) / F.greatest(n - 1, F.lit(1.0)))
+    base = df.select(key, a.alias("__a"), (a + b).alias("__row"), (a + c).alias("__col"), (a + b + c + d).alias("__n"))
+    row, col, size = F.col("__row"), F.col("__col"), F.col("__n")
+    n = size.cast("double")
+    mean = row * col / n
+    sd = F.sqrt(mean * (n - row) / n * (n - col) / F.greatest(n - 1, F.lit(1.0)))
     reach = 40 * sd + 1000
-    lo = F.greatest(F.lit(0), F.col("r") + F.col("col") - F.col("n"), F.floor(mean - reach))
-    hi = F.least(F.col("r"), F.col("col"), F.ceil(mean + reach))
-    log_p = lambda k: log_choose(F.col("col"), k) + log_choose(F.col("n") - F.col("col"), F.col("r") - k) - log_choose(F.col("n"), F.col("r"))
-    base = base.withColumns({"lo": lo, "hi": hi}).withColumn("lp_obs", log_p(F.col("k_obs")))
-    chunks = base.withColumn("from_k", F.explode(F.sequence("lo", "hi", F.lit(chunk).cast("bigint")))).repartition(key, "from_k")
-    tables = chunks.withColumn("k", F.explode(F.sequence("from_k", F.least(F.col("from_k") + (chunk - 1), F.col("hi")))))
-    tables = tables.withColumn("lp", log_p(F.col("k"))).filter(F.col("lp") <= F.col("lp_obs") + math.log1p(1e-7))
-    return tables.groupBy(key).agg(F.least(F.lit(1.0), F.sum(F.exp("lp"))).alias("p"))
+    lo = F.greatest(F.lit(0), row + col - size, F.floor(mean - reach))
+    hi = F.least(row, col, F.ceil(mean + reach))
+    log_p = lambda k: log_choose(col, k) + log_choose(size - col, row - k) - log_choose(size, row)
+    base = base.withColumns({"__lo": lo, "__hi": hi}).withColumn("__seen", log_p(F.col("__a")))
+    chunks = base.withColumn("__from", F.explode(F.sequence("__lo", "__hi", F.lit(chunk).cast("bigint")))).repartition(key, "__from")
+    tables = chunks.withColumn("__k", F.explode(F.sequence("__from", F.least(F.col("__from") + (chunk - 1), F.col("__hi")))))
+    tables = tables.withColumn("__lp", log_p(F.col("__k"))).filter(F.col("__lp") <= F.col("__seen") + math.log1p(1e-7))
+    return tables.groupBy(key).agg(F.least(F.lit(1.0), F.sum(F.exp("__lp"))).alias("p"))
