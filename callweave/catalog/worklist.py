@@ -82,6 +82,8 @@ CONTEXT = "case category " + " ".join(f"when '{k}' then '{v.replace(chr(39), chr
    (select {CITE("'Objection (' || o.topic || ')'", 'o')} from obj o where o.lead = g.lead and rn = 2)], lambda x: x is not null) as p from graded g)
  select g.lead, coalesce(l.part, 1) as part, category as priority, reason,
   case when category = 'Dormant: reconfirm' then 'Message the lead to reconfirm interest before any call. If the lead replies: ' else '' end || next_action as next_action,
+  'Open: ' || opener || chr(10) || 'Ask: ' || question || chr(10) || 'Close: ' || ask as what_to_say, role, ctc, location,
+  'S: ' || strength || chr(10) || 'W: ' || weakness || chr(10) || 'O: ' || opportunity || chr(10) || 'T: ' || threat as swot,
   case when len(p.p) = 0 then 'No usable recording' else array_to_string(list_transform(list_filter(p.p, lambda x, i: list_position(p.p, x) = i), lambda x: x), chr(10)) end as evidence,
   {CONTEXT} as historical_context,
   case when live_date is null then 'No usable conversation' else {HUMAN('live_date')} || ' (' || days_since || ' days before cutoff)' end as last_conversation,
@@ -132,12 +134,15 @@ SHEET = """sheet as (select c.*, coalesce(p.verdict, '') as verdict, coalesce(p.
 REVIEW = f"with {ctes('calls', 'codings', 'coding_evidence')}, {GRADED}, {CLAIMS}, {PRIOR}, {SHEET}"
 
 
+def prior_signatures(claims):
+    """Three of four leads have their claims signed."""
+    return claims.select("lead", "claim", "quote").distinct().filter(F.col("lead").cast("bigint") % 4 > 0).select(
+        "*", F.lit("Confirmed").alias("verdict"), F.lit("listened").alias("note"), F.lit("reviewer").alias("reviewer"), F.lit("2026-10-02").alias("reviewed_at"))
+
+
 def sheet(t):
     claims = wl.review_claims(graded(t), t.coding_evidence)
-    filled = F.col("lead").cast("bigint") % 4 > 0
-    prior = claims.select("lead", "claim", "quote").distinct().filter(filled).select(
-        "*", F.lit("Confirmed").alias("verdict"), F.lit("listened").alias("note"), F.lit("reviewer").alias("reviewer"), F.lit("2026-10-02").alias("reviewed_at"))
-    return wl.review_sheet(claims, prior)
+    return wl.review_sheet(claims, prior_signatures(claims))
 
 
 @query("review_sheet", f"{REVIEW} select * from sheet")
@@ -155,6 +160,17 @@ def confirmed_leads(t):
     return wl.confirmed_leads(sheet(t))
 
 
+@query("export_meta", f"""with {ctes('calls', 'codings', 'coding_evidence', 'reviews')}, {GRADED}, {CLAIMS}, {PRIOR}, {SHEET},
+ a as (select count(*) filter (reviewer <> '' and reviewed_at is not null) as n, count(*) as total from reviews), s as (select count(*) as claims, count(*) filter (reviewer <> '') as signed from sheet)
+ select (select count(*) from graded) as leads, (select cast(max(as_of) as varchar) from graded) as as_of, (select count(distinct lead) from calls) as journeys, (select count(*) from calls) as calls,
+  claims, signed, claims = signed and claims > 0 as claims_complete, a.n = total as audit_complete, a.n as audit_reviewed, not (claims = signed and claims > 0 and a.n = total) as review_draft from a, s""")
+def export_meta(t):
+    """The publication's meta row."""
+    from ..operators.quality import validation_status
+    claims = wl.review_claims(graded(t), t.coding_evidence)
+    return wl.export_tables(t.codings, t.calls, t.coding_evidence, summaries(t), prior_signatures(claims), validation_status(t.reviews))["meta"]
+
+
 NORM = lambda s: f"trim(regexp_replace(regexp_replace(lower({s}), '[^\\p{{L}}\\p{{N}}_\\s'']', ' ', 'g'), '\\s+', ' ', 'g'))"
 
 
@@ -172,12 +188,7 @@ def coding_evidence_problems(t):
     return guards.evidence_problems(t.coding_evidence, t.calls, t.lines)
 
 
-CLIENT_TEXTS = ["next_action", "buying_intent", "detail", "condition"]
-
-
-def client_texts(t):
-    from ..operators.small import unpivot_struct
-    return unpivot_struct(t.codings, ["lead"], [(c, F.col(c)) for c in CLIENT_TEXTS], "place", "text")
+LONG_TEXTS = " union all ".join(f"select lead, '{place}' as place, {column} as text from codings where {column} is not null" for place, column in wl.CLIENT_TEXTS.items())
 
 
 W_ = lambda words: f"(^|[^\\p{{L}}\\p{{N}}_])({words})([^\\p{{L}}\\p{{N}}_]|$)"
@@ -194,24 +205,26 @@ hit = lambda s, rx: f"regexp_matches(lower({s}), '{rx}')"
 word = lambda s, rx: f"regexp_extract({s}, '(?i){rx}', 2)"
 
 
-@query("coding_wording_problems", f"""with {ctes('codings')}, long as ({' union all '.join(f"select lead, '{c}' as place, {c} as text from codings" for c in CLIENT_TEXTS)})
+@query("coding_wording_problems", f"""with {ctes('codings')}, long as ({LONG_TEXTS})
  select lead, place, 'internal word ' || {word('text', SQL_BANNED)} as problem from long where {hit('text', SQL_BANNED)}
  union all select lead, place, 'gendered pronoun ' || {word('text', SQL_PRONOUNS)} from long where {hit('text', SQL_PRONOUNS)}
  union all select lead, place, 'contact detail ' || regexp_extract(text, '(?i)@[a-z0-9-]+\\.') from long where {hit('text', SQL_CONTACT)}
  union all select lead, place, 'relative timing ' || {word('text', SQL_RELATIVE)} from long where place = 'next_action' and {hit('text', SQL_RELATIVE)}
- union all select lead, place, 'a discount, offer or trial must be conditional on current approval' from long where place = 'next_action' and {OFFER_RULE('text')}""")
+ union all select lead, place, 'a discount, offer or trial must be conditional on current approval' from long where (place = 'next_action' or place like 'what_to_say%') and {OFFER_RULE('text')}
+ union all select lead, place, 'over 25 words' from long where place like 'swot%' and len(regexp_extract_all(text, '\\S+')) > 25
+ union all select lead, place, 'over 50 words' from long where place = 'next_action' and len(regexp_extract_all(text, '\\S+')) > 50""")
 def coding_wording_problems(t):
-    return guards.wording_problems(client_texts(t))
+    return guards.wording_problems(wl.client_texts(t.codings))
 
 
 @query("coding_name_problems", f"""with {ctes('calls', 'leads', 'codings')}, names as (select lead, unnest(regexp_extract_all(lower(segment), '[a-z]{{3,}}')) as word from leads),
- long as ({' union all '.join(f"select lead, '{c}' as place, {c} as text from codings where {c} is not null" for c in CLIENT_TEXTS)}),
+ long as ({LONG_TEXTS}),
  words as (select distinct lead, place, unnest(regexp_extract_all(lower(text), '[a-z]{{3,}}')) as word from long)
  select distinct w.lead, place, 'personal name ' || w.word as problem from words w join names n on n.lead = w.lead and n.word = w.word""")
 def coding_name_problems(t):
     """The segment word plays the lead's name: buying_intent repeats it."""
     names = guards.tokens(t.leads, ["lead"], F.col("segment"), r"[a-z]{3,}")
-    return guards.name_problems(client_texts(t), names)
+    return guards.name_problems(wl.client_texts(t.codings), names)
 
 
 @query("coding_stance_problems", f"""with {ctes('calls', 'codings', 'coding_evidence')}, {OUTCOMES}, {LIVE_SQL},

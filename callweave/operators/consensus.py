@@ -86,17 +86,17 @@ def build(placed, spans, decisions, roles):
         "call_id", "position", F.trim(F.when(F.col("outcome") == "majority_gemini_sarvam", F.col("gemini")).otherwise(F.col("whisper"))).alias("text"),
         F.col("outcome").alias("source"), F.lit(False).alias("unclear"), F.lit(1).cast("bigint").alias("merged"), "speaker")
     labels = majority_label(spans, ["call_id", "span_id"], "speaker", "position")
-    texts = disputed_spans(spans).filter(F.col("part") == 1)
     size = spans.groupBy("call_id", "span_id").agg(F.count(F.lit(1)).alias("merged"))
-    rows = texts.drop("segments", "part").join(size, ["call_id", "span_id"]).join(decisions, ["call_id", "span_id"]).join(labels, ["call_id", "span_id"], "left")
+    rows = disputed_spans(spans).drop("segments").join(size, ["call_id", "span_id"]).join(decisions, ["call_id", "span_id"]).join(labels, ["call_id", "span_id"], "left")
     order = candidate_order(F.col("call_id"), F.col("span_id"))
     letter = F.col("choice").isin("A", "B", "C")
     system = F.when(F.col("choice") == "A", order[0]).when(F.col("choice") == "B", order[1]).when(F.col("choice") == "C", order[2])
     copied = F.when(system == "whisper", F.col("whisper")).when(system == "gemini", F.col("gemini")).when(system == "sarvam", F.col("sarvam"))
+    rows = rows.filter(letter | (F.col("part") == 1))  # a written decision stands once; copied words keep all their parts
     chosen = F.when(letter, copied).otherwise(F.col("text"))
     resolved = rows.select("call_id", F.col("first_position").alias("position"), F.trim(chosen).alias("text"),
                            F.concat(F.lit("resolved_"), F.coalesce(system, "choice")).alias("source"),
-                           (F.col("unclear") | F.contains(chosen, F.lit("[unclear]"))).alias("unclear"), "merged", "speaker")
+                           (F.col("unclear") | F.coalesce(F.contains(chosen, F.lit("[unclear]")), F.lit(False))).alias("unclear"), "merged", "speaker")
     out = agreed.unionByName(resolved).join(roles, ["call_id", "speaker"], "left")
     return out.withColumns({"role": F.coalesce("role", F.lit("unknown")), "dropped": F.coalesce(F.col("text"), F.lit("")) == ""})
 

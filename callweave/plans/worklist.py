@@ -7,7 +7,7 @@ from ..functions import text as tx
 from ..functions.rules import CATEGORIES, categorise, category_order
 from ..operators.journeys import crm_status, last_live, number_calls, outcomes
 from ..operators.parts import LINES_PER_PART, text_parts
-from ..operators.small import case_of, constants, with_scalar
+from ..operators.small import beside, case_of, constants, unpivot_struct, with_scalar
 
 # ---- fixed values: labels ----
 TYPE_LABEL = {"sales": "Sales call", "brief_followup": "Follow-up", "enrollment_or_payment": "Enrolment or payment",
@@ -107,9 +107,13 @@ def worklist_rows(rows, evidence, calls, signed=None):
     last = F.when(c("live_date").isNull(), "No usable conversation").otherwise(F.concat(
         tx.human_date(c("live_date")), F.lit(" ("), c("days_since").cast("string"), F.lit(" days before cutoff)")))
     return joined.select("lead", F.coalesce("part", F.lit(1).cast("bigint")).alias("part"), c("category").alias("priority"), "reason",
-                         action.alias("next_action"), F.when(proof_text == "", "No usable recording").otherwise(proof_text).alias("evidence"),
+                         action.alias("next_action"),
+                         F.concat(F.lit("Open: "), "opener", F.lit("\nAsk: "), "question", F.lit("\nClose: "), "ask").alias("what_to_say"),
+                         F.when(proof_text == "", "No usable recording").otherwise(proof_text).alias("evidence"),
                          case_of(c("category"), HISTORICAL_CONTEXT).alias("historical_context"), last.alias("last_conversation"),
-                         intent.alias("buying_intent"), "experience", F.coalesce("open_objections", F.lit("None open")).alias("open_objections"),
+                         intent.alias("buying_intent"), "experience", "role", "ctc", "location",
+                         F.concat(F.lit("S: "), "strength", F.lit("\nW: "), "weakness", F.lit("\nO: "), "opportunity", F.lit("\nT: "), "threat").alias("swot"),
+                         F.coalesce("open_objections", F.lit("None open")).alias("open_objections"),
                          F.when(F.coalesce("confirmed", F.lit(False)), "Checked against the recording").otherwise("Recording validation pending")
                          .alias("validation"))
 
@@ -138,6 +142,31 @@ def journey_rows(calls, summaries, lines=LINES_PER_PART):
     return text.join(heads, "lead")
 
 
+CLIENT_TEXTS = {"next_action": "next_action", "buying_intent": "buying_intent", "stance.detail": "detail", "stance.condition": "condition",
+                "what_to_say.opener": "opener", "what_to_say.question": "question", "what_to_say.ask": "ask", "swot.strength": "strength",
+                "swot.weakness": "weakness", "swot.opportunity": "opportunity", "swot.threat": "threat"}
+
+
+def client_texts(codings):
+    """Every text of a coding a client would read, long form (lead, place, text)."""
+    return unpivot_struct(codings, ["lead"], [(place, F.col(column)) for place, column in CLIENT_TEXTS.items()], "place", "text")
+
+
+def export_tables(codings, calls, evidence, summaries, prior, audit):
+    """Everything one publication writes: tables and the one-row meta. The release stays a review draft until every
+    worklist claim and every audit row is signed."""
+    rows = graded(codings, calls)
+    sheet = review_sheet(review_claims(rows, evidence), prior)
+    status = review_status(sheet)
+    tables = {"worklist": worklist_rows(rows, evidence, calls, confirmed_leads(sheet)), "journeys": journey_rows(calls, summaries),
+              "calls": call_rows(calls, summaries), "review": sheet, "categories": category_counts(rows)}
+    figures = beside(beside(beside(rows.agg(F.count(F.lit(1)).alias("leads"), F.max("as_of").cast("string").alias("as_of")),
+                                   calls.agg(F.countDistinct("lead").alias("journeys"), F.count(F.lit(1)).alias("calls"))), status),
+                     audit.select(F.col("complete").alias("audit_complete"), "audit_reviewed"))
+    tables["meta"] = figures.withColumn("review_draft", ~(F.col("complete") & F.col("audit_complete"))).withColumnRenamed("complete", "claims_complete")
+    return tables
+
+
 def act_now(rows, warm_days=30):
     """Leads to act on first."""
     return rows.filter(F.col("category").isin("Hot", "Check status", "Recording unusable: confirm status")

@@ -112,7 +112,12 @@ SQL = {
           when 4 then 'Send the details to a@b.com.' else 'Counsellor sends the final price once the lead confirms.' end as next_action,
         'Intent of ' || c_mktsegment as buying_intent,
         case c_custkey % 4 when 0 then 'Not asked' when 1 then 'Years not stated' else cast(c_custkey % 15 as string) || ' years' end as experience,
-        'coder ' || cast(c_custkey % 3 as string) as coder, c_nationkey as nation_id
+        'coder ' || cast(c_custkey % 3 as string) as coder, c_nationkey as nation_id,
+        'role ' || cast(c_custkey % 8 as string) as role, case c_custkey % 3 when 0 then 'Not asked' else cast(c_custkey % 30 as string) || ' LPA' end as ctc,
+        'city ' || cast(c_nationkey as string) as location, 'Hello again' as opener, 'What holds the decision?' as question,
+        case c_custkey % 10 when 0 then 'Shall I hold the early-bird price?' else 'May we call after the approval?' end as ask,
+        'needs ' || lower(c_mktsegment) as strength, case c_custkey % 12 when 0 then repeat('many words ', 13) else 'few facts' end as weakness,
+        'a named batch' as opportunity, case c_custkey % 14 when 0 then 'her budget' else 'the budget' end as threat
       from {{customer}}""",
     # One decisive and up to two objection evidences per lead, citing the lead's own calls.
     "coding_evidence": """
