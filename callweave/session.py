@@ -68,3 +68,13 @@ def spread(df, *columns):
 def work_folder(spark, name):
     """A new folder for one job's stream state and output, under the shared checkpoint folder."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def widen(df, min_bytes=1 << 20):
+    """Spread a table that arrives in fewer partitions than there are cores (one small file). Large inputs already come
+    in many splits and pass through untouched, so nothing is added at scale."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size < min_bytes or df.rdd.getNumPartitions() * 2 > cores:
+        return df
+    return df.repartition(cores)

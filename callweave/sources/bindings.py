@@ -4,6 +4,8 @@ Each binding is one projection (at most one equi-join) in SQL both Spark and Duc
 rows and compares the operators. Nothing is filtered out: a binding's size grows with its table.
 """
 
+from ..session import widen
+
 # ---- fixed values: enumerations of the claim schema, in their order ----
 FACT_FIELDS = ("location", "current_role", "company", "experience", "current_ctc", "target_role", "technology_interest",
                "course", "goal", "timeline", "budget", "availability")
@@ -229,7 +231,7 @@ class Tables:
         self.spark, self.folder = spark, folder.rstrip("/")
 
     def raw(self, table):
-        return self.spark.read.parquet(f"{self.folder}/{table}.parquet")
+        return widen(self.spark.read.parquet(f"{self.folder}/{table}.parquet"))
 
     def bind(self, name):
         return self.spark.sql(SQL[name], **{t: self.raw(t) for t in _inputs(name)})
