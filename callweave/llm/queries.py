@@ -1,6 +1,6 @@
 """The registered queries of this folder, with DuckDB SQL where SQL can say them."""
 
-from . import decontamination, line_dedup, packing, sharding, simhash
+from . import decontamination, line_dedup, packing, sharding, simhash, token_counts, toxicity
 from .common import table
 
 QUERIES, ORACLE = {}, {}
@@ -74,3 +74,13 @@ def op4(spark, sf_dir):
 @query("op6_best_fit_packing")
 def op6(spark, sf_dir):
     return packing.report(table(spark, sf_dir, "documents"))
+
+
+@query("op1_token_counts")
+def op1(spark, sf_dir):
+    return token_counts.report(table(spark, sf_dir, "documents"))
+
+
+@query("op2_toxicity")
+def op2(spark, sf_dir):
+    return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
