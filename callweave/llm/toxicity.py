@@ -1,9 +1,9 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
 Positives are documents labelled toxic; the unlabelled sample is drawn from all documents of the training fold, whatever
-their label. The share of toxic documents (the class prior) is estimated from the labels of the training fold. Features are
-a document's distinct words and the beginnings of words; those that tell positives from the rest are chosen on the sample
-and linear classifiers are trained on it in numpy with the non-negative risk
+their label. The share of toxic documents (the class prior) is estimated from the labels of the training fold. Features say
+that a document has a word, or words of one beginning, at least once, twice or three times; those that tell positives from
+the rest are chosen on the sample and linear classifiers are trained on it in numpy with the non-negative risk
 
     prior * R+(positives) + max(0, R-(unlabelled) - prior * R-(positives)).
 
@@ -16,7 +16,6 @@ empty table gives no rows.
 
 import re
 from collections import Counter
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -28,24 +27,30 @@ from .common import stored
 
 # Bounds of the training sample, in documents, and of the features kept.
 POSITIVES, UNLABELLED, FEATURES = 4000, 8000, 1024
-# Begin of a word that count as features of their own.
-BEGINNINGS = (4, 5, 6)
+# Beginnings of a word that count like words, and how often a document must have one for each of its features.
+BEGINNINGS, LEVELS = (4, 5, 6, 7), (1, 2, 3)
 CLASSIFIERS, EPOCHS, BATCH, RATE, DECAY = 3, 60, 512, 0.05, 1e-3
 LETTERS = re.compile(r"[^\W\d_]+")
 FOLDS = 5
 
 
-@lru_cache(maxsize=100_000)
-def word_features(word):
+def stems(word):
+    """A word and its beginnings."""
     return (word, *(word[:n] + "*" for n in BEGINNINGS if len(word) > n))
 
 
+def words(text):
+    """How often a text has each run of letters."""
+    return Counter(LETTERS.findall((text or "").lower()))
+
+
 def features(text):
-    """The distinct features of a text."""
-    found = set()
-    for word in set(LETTERS.findall((text or "").lower())):
-        found.update(word_features(word))
-    return found
+    """The features of a text: (stem, level) as one string."""
+    seen = Counter()
+    for word, n in words(text).items():
+        for stem in stems(word):
+            seen[stem] += n
+    return {f"{stem}#{level}" for stem, n in seen.items() for level in LEVELS if n >= level}
 
 
 def held_out(doc_id):
@@ -87,7 +92,7 @@ def choose(rows, text, limit=FEATURES):
     counted = rows.select(text, "positive").mapInPandas(count, "feature string, p long, u long").groupBy("feature").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
     p, u = F.col("p") / n_p, F.col("u") / n_u
     clear = (p - u) / F.sqrt(p / n_p + (F.col("u") + 1) / n_u / n_u)
-    best = counted.where("p >= 3").withColumn("clear", clear).where("clear > 3").orderBy(F.desc("clear"), "feature").limit(limit)
+    best = counted.where("p >= 3").withColumn("clear", clear).where("clear > 2").orderBy(F.desc("clear"), "feature").limit(limit)
     return [r["feature"] for r in best.select("feature").collect()]
 
 
@@ -153,18 +158,21 @@ def scorer(model):
     """A column function: the score of a text."""
     weights, bias = model if model else ({}, -np.inf)
 
+    wanted = {f.rpartition("#")[0] for f in weights}
+
     def run(texts: pd.Series) -> pd.Series:
         known, scores = {}, []
         for text in texts:
-            on = set()
-            for word in set(LETTERS.findall((text or "").lower())):
+            seen = Counter()
+            for word, n in words(text).items():
                 hits = known.get(word)
                 if hits is None:
-                    hits = known[word] = tuple(f for f in (word, *(word[:n] + "*" for n in BEGINNINGS if len(word) > n)) if f in weights)
-                on.update(hits)
+                    hits = known[word] = tuple(stem for stem in stems(word) if stem in wanted)
+                for stem in hits:
+                    seen[stem] += n
             if len(known) > 300_000:
                 known.clear()
-            z = bias + sum(weights[f] for f in sorted(on))
+            z = bias + sum(weights.get(f"{stem}#{level}", 0.0) for stem, n in sorted(seen.items()) for level in LEVELS if n >= level)
             scores.append(float(sigmoid(z)) if z > -np.inf else 0.0)
         return pd.Series(scores, dtype="float64", index=texts.index)
     return pandas_udf(run, DoubleType())
