@@ -1,6 +1,6 @@
 """The registered queries of this folder, with DuckDB SQL where SQL can say them."""
 
-from . import decontamination, line_dedup, packing, sharding, simhash, token_counts, toxicity
+from . import decontamination, html_text, line_dedup, packing, sharding, simhash, token_counts, topk_search, toxicity
 from .common import table
 
 QUERIES, ORACLE = {}, {}
@@ -84,3 +84,23 @@ def op1(spark, sf_dir):
 @query("op2_toxicity")
 def op2(spark, sf_dir):
     return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+OP5 = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+      FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 20 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 20
+"""
+
+
+@query("op5_topk_search", OP5)
+def op5(spark, sf_dir):
+    return topk_search.report(table(spark, sf_dir, "embeddings"))
+
+
+@query("op8_html_extraction")
+def op8(spark, sf_dir):
+    return html_text.report(table(spark, sf_dir, "pages"))
