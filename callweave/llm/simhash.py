@@ -61,16 +61,31 @@ def near_links(prints, column="fingerprint", most=MOST_BITS):
     return tried.join(table, ["half", "value"]).where(close).select("a", "b").distinct()
 
 
-def near_duplicates(docs, doc_id="doc_id", text="text"):
-    """docs' ids with fingerprint (long) and component_id: the smallest id reachable over links of at most three bits."""
+def groups(docs, doc_id, text):
+    """Stored (id, fingerprint) rows of docs, and (fingerprint, component_id): the smallest id reachable over near links."""
     rows = stored(docs.select(doc_id, simhash(F.col(text)).alias("fingerprint")), "fingerprints")
     prints = stored(rows.groupBy("fingerprint").agg(F.min(doc_id).alias("least")), "prints")
     links = stored(near_links(prints), "near-links")
     held = prints.join(components(links).withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
     firsts = held.where(F.col("component").isNotNull()).groupBy("component").agg(F.min("least").alias("first"))
-    named = stored(held.join(firsts, "component", "left").select("fingerprint", F.coalesce("first", "least").alias("component_id")), "components")
+    named = held.join(firsts, "component", "left").select("fingerprint", F.coalesce("first", "least").alias("component_id"))
+    return rows, stored(named, "components")
+
+
+def near_duplicates(docs, doc_id="doc_id", text="text"):
+    """docs' ids with fingerprint (long) and component_id."""
+    rows, named = groups(docs, doc_id, text)
     return rows.join(named, "fingerprint")
 
 
+def first_of_group(docs, doc_id="doc_id", text="text"):
+    """One row of docs per component: that of the smallest id (of rows that share this id, or have none, the first by all
+    their columns)."""
+    rows, named = groups(docs, doc_id, text)
+    least = rows.join(named, "fingerprint").select(F.col("component_id").alias("__least")).distinct()
+    kept = docs.join(least, docs[doc_id].eqNullSafe(least["__least"])).select(*docs.columns)
+    return kept.dropDuplicates([doc_id])
+
+
 def report(docs):
     return near_duplicates(docs).select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
