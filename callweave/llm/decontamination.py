@@ -124,11 +124,11 @@ def matches(docs, text, items, item_id="item_id", item_text="text", size=WINDOW,
     strings). One row per input row."""
     lists, pairs = occurrences(docs, text, items, item_id, item_text, size, slop)
     rows = docs.withColumn("__key", text_key(F.col(text)))
-    lists = lists.withColumnRenamed("key", "__key")
+    lists = lists.withColumnsRenamed({"key": "__key", "met": "__met"})
     none = F.array().cast("array<struct<start:int,length:int,window:string,kind:string>>")
     held = (rows.join(lists, "__key", "left").withColumn("__words", words_of(F.col(text)))
             .withColumn("n_words", F.size("__words").cast("long"))
-            .withColumn("found", F.coalesce(verified(F.col("__words"), F.col("met"), slop), none)).drop("__words", "met"))
+            .withColumn("found", F.coalesce(verified(F.col("__words"), F.col("__met"), slop), none)).drop("__words", "__met"))
     held = stored(held.drop(text), "found") if text in held.columns else held
     hit = (held.where(F.size("found") > 0)
            .select("__key", F.explode(F.array_distinct(F.transform(F.filter("found", lambda m: m["kind"] == "phrase"), lambda m: m["window"]))).alias("window"))
@@ -151,6 +151,6 @@ def clean(docs, items, text="text", item_id="item_id", item_text="text"):
     """docs without the rows that hold a benchmark phrase; columns as they came."""
     lists, _ = occurrences(docs, text, items, item_id, item_text)
     rows = docs.withColumn("__key", text_key(F.col(text)))
-    held = rows.join(lists.withColumnRenamed("key", "__key"), "__key", "left")
-    hits = F.size(F.coalesce(verified(words_of(F.col(text)), F.col("met")), F.array().cast("array<struct<start:int,length:int,window:string,kind:string>>")))
+    held = rows.join(lists.withColumnsRenamed({"key": "__key", "met": "__met"}), "__key", "left")
+    hits = F.size(F.coalesce(verified(words_of(F.col(text)), F.col("__met")), F.array().cast("array<struct<start:int,length:int,window:string,kind:string>>")))
     return held.where(hits == 0).select(*docs.columns)

@@ -108,17 +108,25 @@ def repeated_lines(docs, doc_id="doc_id", text="text"):
     return gone.groupBy("at.id", "at.doc").agg(F.collect_set("at.no").alias("gone"))
 
 
-def without_repeats(docs, doc_id="doc_id", text="text"):
-    """docs with the lines that go taken out of the text, and n_lines and n_removed."""
+def cleaned(docs, doc_id="doc_id", text="text"):
+    """docs with __gone (numbers of the lines that go, null for none) and __text (what is left)."""
     gone = repeated_lines(docs, doc_id, text).withColumnsRenamed({"id": "__id", "doc": "__doc", "gone": "__gone"})
     rows = docs.withColumn("__hash", F.xxhash64(text))
     held = rows.join(gone, rows[doc_id].eqNullSafe(gone["__id"]) & (rows["__hash"] == gone["__doc"]), "left")
-    lines = F.split(text, "\n")
-    left = F.array_join(F.filter(lines, lambda line, i: ~F.array_contains("__gone", i)), "\n")
-    return (held.withColumns({"n_lines": F.coalesce(F.size(lines), F.lit(0)), "n_removed": F.coalesce(F.size("__gone"), F.lit(0)),
-                              text: F.when(F.col("__gone").isNull(), F.col(text)).otherwise(left)})
-            .drop("__hash", "__id", "__doc", "__gone"))
+    left = F.array_join(F.filter(F.split(text, "\n"), lambda line, i: ~F.array_contains("__gone", i)), "\n")
+    return held.withColumn("__text", F.when(F.col("__gone").isNull(), F.col(text)).otherwise(left)).drop("__hash", "__id", "__doc")
+
+
+def without_repeats(docs, doc_id="doc_id", text="text", n_chars=None):
+    """docs, as they came, with the lines that go taken out of the text; a column n_chars follows the changed texts."""
+    changed = {text: F.col("__text")}
+    if n_chars:
+        kind = docs.schema[n_chars].dataType
+        changed[n_chars] = F.when(F.col("__gone").isNotNull(), F.char_length("__text").cast(kind)).otherwise(F.col(n_chars))
+    return cleaned(docs, doc_id, text).withColumns(changed).select(*docs.columns)
 
 
 def report(docs):
-    return without_repeats(docs.select("doc_id", "text")).select("doc_id", "text", F.col("n_lines").cast("long").alias("n_lines"), F.col("n_removed").cast("long").alias("n_removed"))
+    lines = F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long")
+    return cleaned(docs.select("doc_id", "text")).select("doc_id", F.col("__text").alias("text"), lines.alias("n_lines"),
+                                                         F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("n_removed"))

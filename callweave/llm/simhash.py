@@ -62,29 +62,31 @@ def near_links(prints, column="fingerprint", most=MOST_BITS):
 
 
 def groups(docs, doc_id, text):
-    """Stored (id, fingerprint) rows of docs, and (fingerprint, component_id): the smallest id reachable over near links."""
+    """Stored (id, fingerprint) rows of docs, and (fingerprint, component, component_id): which ones are reachable
+    over near links, and the smallest id of all that are."""
     rows = stored(docs.select(doc_id, simhash(F.col(text)).alias("fingerprint")), "fingerprints")
     prints = stored(rows.groupBy("fingerprint").agg(F.min(doc_id).alias("least")), "prints")
     links = stored(near_links(prints), "near-links")
     held = prints.join(components(links).withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
-    firsts = held.where(F.col("component").isNotNull()).groupBy("component").agg(F.min("least").alias("first"))
-    named = held.join(firsts, "component", "left").select("fingerprint", F.coalesce("first", "least").alias("component_id"))
-    return rows, stored(named, "components")
+    held = held.select("fingerprint", "least", F.coalesce("component", F.xxhash64("fingerprint")).alias("component"))
+    firsts = held.groupBy("component").agg(F.min("least").alias("component_id"))
+    return rows, stored(held.join(firsts, "component").select("fingerprint", "component", "component_id"), "components")
 
 
 def near_duplicates(docs, doc_id="doc_id", text="text"):
     """docs' ids with fingerprint (long) and component_id."""
     rows, named = groups(docs, doc_id, text)
-    return rows.join(named, "fingerprint")
+    return rows.join(named.drop("component"), "fingerprint")
 
 
 def first_of_group(docs, doc_id="doc_id", text="text"):
-    """One row of docs per component: that of the smallest id (of rows that share this id, or have none, the first by all
-    their columns)."""
-    rows, named = groups(docs, doc_id, text)
-    least = rows.join(named, "fingerprint").select(F.col("component_id").alias("__least")).distinct()
-    kept = docs.join(least, docs[doc_id].eqNullSafe(least["__least"])).select(*docs.columns)
-    return kept.dropDuplicates([doc_id])
+    """One row of docs per component, as it came: that of the smallest id. Where several rows of a component share this id, or
+    none has an id, one of them."""
+    _, named = groups(docs, doc_id, text)
+    named = named.select(*[F.col(c).alias(f"__{c}") for c in named.columns])
+    rows = docs.withColumn("__fingerprint", simhash(F.col(text)))
+    first = rows.join(named, "__fingerprint").where(F.col(doc_id).eqNullSafe(F.col("__component_id")))
+    return first.dropDuplicates(["__component"]).select(*docs.columns)
 
 
 def report(docs):

@@ -184,5 +184,10 @@ def scored(docs, labels, doc_id="doc_id", text="text"):
     return docs.withColumns({"held_out": held_out(doc_id), "score": score(F.col(text))}).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def accepted(docs, labels, doc_id="doc_id", text="text"):
+    """The rows of docs that score below 0.5."""
+    return docs.where(scorer(fit(docs, labels, doc_id, text))(F.col(text)) < 0.5)
+
+
 def report(docs, labels):
     return scored(docs.select("doc_id", "text"), labels).drop("text")
