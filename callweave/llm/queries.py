@@ -1,6 +1,6 @@
 """The registered queries of this folder, with DuckDB SQL where SQL can say them."""
 
-from . import decontamination, html_text, line_dedup, packing, sharding, simhash, token_counts, topk_search, toxicity
+from . import decontamination, html_text, line_dedup, packing, passages, sharding, simhash, token_counts, topk_search, toxicity
 from .common import table
 
 QUERIES, ORACLE = {}, {}
@@ -104,3 +104,8 @@ def op5(spark, sf_dir):
 @query("op8_html_extraction")
 def op8(spark, sf_dir):
     return html_text.report(table(spark, sf_dir, "pages"))
+
+
+@query("op3_substring_dedup")
+def op3(spark, sf_dir):
+    return passages.report(table(spark, sf_dir, "documents"))
