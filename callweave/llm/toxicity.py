@@ -19,6 +19,7 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
@@ -82,14 +83,15 @@ def choose(rows, text, limit=FEATURES):
     def count(batches):
         for batch in batches:
             seen = {True: Counter(), False: Counter()}
-            for t, y in zip(batch[text], batch["positive"]):
-                seen[bool(y)].update(features(t))
+            for t, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                seen[y].update(features(t))
             names = list(seen[True].keys() | seen[False].keys())
-            yield pd.DataFrame({"feature": names, "p": [seen[True][x] for x in names], "u": [seen[False][x] for x in names]})
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *[pa.array([seen[y][x] for x in names], pa.int64()) for y in (True, False)]],
+                                             names=["feature", "p", "u"])
 
     sizes = {r["positive"]: r["count"] for r in rows.groupBy("positive").count().collect()}
     n_p, n_u = max(1, sizes.get(True, 0)), max(1, sizes.get(False, 0))
-    counted = rows.select(text, "positive").mapInPandas(count, "feature string, p long, u long").groupBy("feature").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
+    counted = rows.select(text, "positive").mapInArrow(count, "feature string, p long, u long").groupBy("feature").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
     p, u = F.col("p") / n_p, F.col("u") / n_u
     clear = (p - u) / F.sqrt(p / n_p + (F.col("u") + 1) / n_u / n_u)
     best = counted.where("p >= 3").withColumn("clear", clear).where("clear > 2").orderBy(F.desc("clear"), "feature").limit(limit)
@@ -102,13 +104,14 @@ def design(rows, text, names):
 
     def indices(batches):
         for batch in batches:
-            yield pd.DataFrame({"positive": batch["positive"], "on": [[place[f] for f in features(t) if f in place] for t in batch[text]]})
+            on = [[place[f] for f in features(t) if f in place] for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(on, pa.list_(pa.int32()))], names=["positive", "on"])
 
-    held = rows.select(text, "positive").mapInPandas(indices, "positive boolean, on array<int>").toPandas()
+    held = rows.select(text, "positive").mapInArrow(indices, "positive boolean, on array<int>").collect()
     x = np.zeros((len(held), len(names)), np.float32)
-    for i, on in enumerate(held["on"]):
-        x[i, on] = 1
-    return x, held["positive"].to_numpy(bool)
+    for i, r in enumerate(held):
+        x[i, r["on"]] = 1
+    return x, np.array([r["positive"] for r in held], bool)
 
 
 def nonnegative_pu(x_p, x_u, prior, seed):
