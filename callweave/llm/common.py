@@ -41,3 +41,26 @@ def ascii_lower(text):
 def tasks(spark, least=1):
     """Partitions for costly row-wise work: what the session shuffles into, and no fewer than its cores."""
     return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
+# Slots of a bitmap filter: 1,024 rows of 4 KB at most, whatever is put in.
+SLOTS, ROW = 1 << 25, 1 << 15
+
+
+def _slot(column):
+    slot = F.pmod(column, F.lit(SLOTS))
+    return F.floor(slot / ROW).alias("__row"), F.pmod(slot, F.lit(ROW)).alias("__bit")
+
+
+def bitmap(df, column):
+    """A table of set slots of a hash column, at most 4 MB: a filter that keeps all that was put in, and some of the rest (the
+    more the fuller it is)."""
+    return stored(df.select(*_slot(F.col(column))).distinct().groupBy("__row").agg(F.bitmap_construct_agg("__bit").alias("__bits")), "bitmap")
+
+
+def in_bitmap(df, column, bits):
+    """The rows of df whose hash column hits a slot of the bitmap."""
+    row, bit = _slot(F.col(column))
+    held = df.withColumns({"__row": row, "__bit": bit}).join(F.broadcast(bits), "__row")
+    byte = F.conv(F.hex(F.expr("substring(__bits, cast(__bit div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    return held.where(F.expr("pow(2, __bit % 8)").cast("int").bitwiseAND(byte) > 0).drop("__row", "__bit", "__bits")

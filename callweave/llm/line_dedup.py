@@ -4,27 +4,28 @@ Two lines are near if one word edit (insert, delete or replace) or none turns on
 line, or a near one, stands earlier in the corpus, in the order of (document id, line number). Lines of fewer than MIN_WORDS
 words are too short to be called copies and always stay.
 
-Equal lines are one class. A class can only have a near one if the two share their first or their last half; classes without
-such a partner are left out at once. The others emit, for every word, the hashed key of the line without it, and the key of
-the whole line. Lines with equal keys are near: replaced words give equal keys at the same position, an inserted word gives
-the key of the shorter line. Per key only the earliest line matters, so keys are aggregated, never paired, and a family of
-thousands of near lines costs one row per line. The edit distance to that earliest line is verified on the words.
+Equal lines are one class. A class can only have a near one if the two share their first or their last half; a bitmap of
+shared halves leaves all others out, so that only the text of candidates is moved. Candidates emit, for every word, a hashed
+key of the words without it, and one of all words; keys that two lines have are joined again and hashed exactly. Lines with equal
+exact keys are near: replaced words give equal keys at the same position, an inserted word gives the key of the shorter line.
+Per key only the earliest line matters, so keys are aggregated, never paired, and a family of thousands of near lines costs
+one row per line. The edit distance to that earliest line is verified on the words.
+
+Words are separated by spaces; their case counts.
 
 Cases: a null text has no lines and stays null; empty lines stay; null ids come first in the order; rows with equal id and
 text are one document, each keeps its row; an empty table gives no rows; extra columns pass through.
 """
 
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
-from .common import stored
+from .common import bitmap, in_bitmap, stored
 
 MIN_WORDS = 5
-BLANKS = r"[ \t\x0B\f\r]+"
 
 
 def line_words(line):
-    return F.filter(F.split(line, BLANKS), lambda w: w != "")
+    return F.filter(F.split(line, " "), lambda w: w != "")
 
 
 def halves(words):
@@ -39,28 +40,20 @@ def halves(words):
 
 
 def split_lines(docs, doc_id, text):
-    """(at, words) of every line long enough; `at` is its place: id, text hash and line number."""
+    """(at, line) of every line; `at` is its place: id, text hash and line number."""
     lines = docs.select(F.col(doc_id).alias("id"), F.xxhash64(text).alias("doc"), F.posexplode(F.split(text, "\n")).alias("no", "line"))
-    return (lines.select(F.struct("id", "doc", "no").alias("at"), line_words(F.col("line")).alias("words"))
-            .where(F.size("words") >= MIN_WORDS))
+    return lines.select(F.struct("id", "doc", "no").alias("at"), "line")
 
 
 def variant_keys(lines):
-    """(at, key, gap): a hash of the line's words and their positions, whole (gap -1) and without the word at each gap. The
-    hash is an exclusive or over positioned words, so all keys of a line come from running values."""
-    word = (lines.select("at", F.posexplode("words").alias("pos", "word"))
-            .select("at", "pos", F.xxhash64("word", "pos").alias("here"), F.xxhash64("word", F.col("pos") - 1).alias("moved")))
-    by = W.partitionBy("at")
-    order = by.orderBy("pos")
-    through = order.rowsBetween(W.unboundedPreceding, W.currentRow)
-    run = word.withColumns({"a": F.bit_xor("here").over(through), "b": F.bit_xor("moved").over(through),
-                            "rest": F.bit_xor("moved").over(by), "full": F.bit_xor("here").over(by), "n": F.count(F.lit(1)).over(by)})
-    before = F.col("a").bitwiseXOR(F.col("here"))
-    after = F.col("rest").bitwiseXOR(F.col("b"))
-    gaps = F.struct(before.bitwiseXOR(after).alias("key"), F.col("pos").alias("gap"), (F.col("n") - 1).alias("n"))
-    whole = F.struct(F.col("full").alias("key"), F.lit(-1).alias("gap"), F.col("n").alias("n"))
-    rows = F.when(F.col("pos") == 0, F.array(gaps, whole)).otherwise(F.array(gaps))
-    return run.select("at", F.explode(rows).alias("v")).select("at", F.xxhash64("v.key", "v.n").alias("key"), "v.gap")
+    """(at, gap, key): a hash of the line's words, all of them (gap -1) and without the word at each gap. It is an exclusive or
+    over words, so lines that differ by one deletion share it, and few others do."""
+    word = F.transform("words", lambda w: F.xxhash64(w))
+    total = F.aggregate(F.col("hashes"), F.lit(0).cast("long"), lambda acc, h: acc.bitwiseXOR(h))
+    rows = lines.select("at", word.alias("hashes")).select("at", "hashes", total.alias("total"), F.size("hashes").alias("n"))
+    cut = F.transform("hashes", lambda h, i: F.struct(i.alias("gap"), F.xxhash64(F.col("n") - 1, F.col("total").bitwiseXOR(h)).alias("key")))
+    whole = F.array(F.struct(F.lit(-1).alias("gap"), F.xxhash64("n", "total").alias("key")))
+    return rows.select("at", F.explode(F.concat(whole, cut)).alias("v")).select("at", "v.gap", "v.key")
 
 
 def one_edit(a, b):
@@ -74,16 +67,30 @@ def one_edit(a, b):
     return (long_ - short <= 1) & ((first == 0) | (tail(a) == tail(b)))
 
 
-def earlier_near(classes, lines):
-    """Places of the classes that have a near class before them; classes has (at, keys), lines has (at, words)."""
-    keys = stored(classes.select("at", F.xxhash64("at").alias("of"), F.explode("halves").alias("half")), "line-halves")
-    shared = keys.groupBy("half").agg(F.min("of").alias("x"), F.max("of").alias("y")).where("x <> y").select("half")
-    paired = keys.join(shared, "half").select("at").distinct()
-    held = stored(lines.join(paired, "at"), "paired-lines")
-    variants = stored(variant_keys(held), "line-variants")
+def candidates(docs, doc_id, text, rows):
+    """(at, words) of the first line of each class that may have a near one; rows has at, a, b and halves."""
+    half = rows.select("a", F.explode("halves").alias("half"))
+    shared = half.groupBy("half").agg(F.min("a").alias("x"), F.max("a").alias("y")).where("x <> y").select("half")
+    near = in_bitmap(rows.select("at", "a", "b", F.explode("halves").alias("half")), "half", bitmap(shared, "half"))
+    firsts = stored(near.groupBy("a", "b").agg(F.min("at").alias("at")).select("at", F.xxhash64("at").alias("of")), "line-candidates")
+    lines = in_bitmap(split_lines(docs, doc_id, text).withColumn("of", F.xxhash64("at")), "of", bitmap(firsts, "of"))
+    # Repeated rows share their places.
+    found = lines.select("at", "line").join(firsts.select("at"), "at").dropDuplicates(["at"])
+    return stored(found.select("at", line_words(F.col("line")).alias("words")), "candidate-lines")
+
+
+def earlier_near(held):
+    """Places of the lines in held (at, words) that have a near line before them."""
+    keys = variant_keys(held)
+    of = F.xxhash64("at")
+    live = keys.groupBy("key").agg(F.min(of).alias("x"), F.max(of).alias("y")).where("x <> y").select("key")
+    gaps = keys.join(live, "key").select("at", "gap")
+    without = F.when(F.col("gap") < 0, F.col("words")).otherwise(
+        F.concat(F.slice("words", 1, F.greatest("gap", F.lit(0))), F.slice("words", F.col("gap") + 2, F.size("words"))))
+    variants = stored(gaps.join(held, "at").select("at", "gap", F.xxhash64(F.size(without), without).alias("key")), "line-variants")
     # The earliest line per key: at one gap for replaced words, whole or with any gap for inserted ones.
-    first = variants.groupBy("key", "gap").agg(F.min("at").alias("least"), F.max("at").alias("last"))
-    replaced = first.where((F.col("gap") >= 0) & (F.col("least") < F.col("last"))).select("key", "gap", "least")
+    first = variants.where("gap >= 0").groupBy("key", "gap").agg(F.min("at").alias("least"), F.max("at").alias("last"))
+    replaced = first.where(F.col("least") < F.col("last")).select("key", "gap", "least")
     by_key = variants.groupBy("key").agg(F.min(F.when(F.col("gap") < 0, F.col("at"))).alias("whole"), F.min(F.when(F.col("gap") >= 0, F.col("at"))).alias("cut"))
     inserted = by_key.where(F.col("whole").isNotNull() & F.col("cut").isNotNull())
     a = variants.join(replaced, ["key", "gap"]).select("at", "least")
@@ -96,14 +103,12 @@ def earlier_near(classes, lines):
 
 def repeated_lines(docs, doc_id="doc_id", text="text"):
     """(id, doc, gone): per document (id and text hash) the numbers of the lines that go."""
-    lines = split_lines(docs, doc_id, text)
-    whole = F.array_join("words", " ")
-    rows = stored(lines.select("at", F.xxhash64(whole).alias("a"), F.xxhash64(F.lit("second"), whole).alias("b"), halves(F.col("words")).alias("halves")), "lines")
-    classes = stored(rows.groupBy("a", "b").agg(F.min(F.struct("at", "halves")).alias("first"), F.count(F.lit(1)).alias("n"))
-                     .select("a", "b", "n", "first.at", "first.halves"), "line-classes")
-    near = earlier_near(classes.select("at", "halves"), lines).withColumn("near", F.lit(True))
-    held = (classes.select("a", "b", "n", F.col("at").alias("first")).join(near.withColumnRenamed("at", "first"), "first", "left")
-            .where((F.col("n") > 1) | F.col("near").isNotNull()))
+    lines = split_lines(docs, doc_id, text).select("at", line_words(F.col("line")).alias("words")).where(F.size("words") >= MIN_WORDS)
+    rows = stored(lines.select("at", F.xxhash64("words").alias("a"), F.xxhash64(F.lit("second"), "words").alias("b"), halves(F.col("words")).alias("halves")), "lines")
+    near = earlier_near(candidates(docs, doc_id, text, rows)).withColumn("near", F.lit(True))
+    classes = rows.groupBy("a", "b").agg(F.min("at").alias("first"), F.max("at").alias("last"))
+    held = (classes.join(near.withColumnRenamed("at", "first"), "first", "left")
+            .where((F.col("first") != F.col("last")) | F.col("near").isNotNull()))
     gone = rows.select("at", "a", "b").join(held, ["a", "b"]).where((F.col("at") != F.col("first")) | F.col("near").isNotNull())
     return gone.groupBy("at.id", "at.doc").agg(F.collect_set("at.no").alias("gone"))
 

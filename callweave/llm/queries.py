@@ -51,7 +51,7 @@ def op7(spark, sf_dir):
 
 
 OP4 = """
-WITH l AS (SELECT doc_id, no - 1 AS no, list_filter(regexp_split_to_array(lines[no], '[ \t\x0B\f\r]+'), lambda w: w <> '') AS ws
+WITH l AS (SELECT doc_id, no - 1 AS no, list_filter(string_split(lines[no], ' '), lambda w: w <> '') AS ws
            FROM (SELECT doc_id, string_split(text, chr(10)) AS lines, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS no FROM documents)),
 c AS (SELECT ws, min((doc_id, no)) AS place FROM l WHERE len(ws) >= 5 GROUP BY ws),
 v AS (SELECT place, i, ws[:i - 1] || ws[i + 1:] AS cut FROM (SELECT place, ws, unnest(range(1, len(ws) + 1)) AS i FROM c)),
