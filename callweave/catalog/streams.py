@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from ..session import setting
 from ..sources.bindings import SQL, ctes
 from ..streaming import budget, ledger, refresh
 from .base import query, rounded
@@ -9,19 +10,19 @@ from .worklist import BASE, GRADED
 
 
 
-def stream(t, table):
-    """A table's file as a stream; the glob keeps the folder's other tables out."""
-    schema = t.raw(table).schema
-    return t.spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet").option("maxFilesPerTrigger", 1).parquet(t.folder)
+def stream(t, table, files=None):
+    """A table as a stream, whether it is one file or a folder of parts (the path is a pattern, which matches either). By default a
+    trigger takes all that is there, so that no layout or order of files decides what is late; a live job passes `files`."""
+    reader = t.spark.readStream.schema(t.raw(table).schema)
+    reader = reader.option("maxFilesPerTrigger", files) if files else reader
+    return reader.parquet(f"{t.folder}/[{table[0]}]{table[1:]}.parquet")
 
 
 def projected(t, name, table):
     """A binding over a stream: the same SELECT list."""
     body = SQL[name].strip()
     columns = body[len("select"):body.rindex("from {" + table + "}")]
-    source = stream(t, table)
-    source.createOrReplaceTempView("__callweave_stream")
-    return t.spark.sql(f"select {columns} from __callweave_stream")
+    return t.spark.sql(f"select {columns} from {{source}}", source=stream(t, table))
 
 
 @query("ledger_stream_costs", f"""with {ctes('ledger')}, w as (select time_bucket(interval 1 day, recorded_at) as start_at, stage, count(*) as events, round(sum(external_cost_inr), 4) as cost_inr,
@@ -52,9 +53,9 @@ def call_bursts(t):
 @query("budget_stream")
 def budget_stream(t):
     """Accept / refuse decisions per budget under a cap that most budgets reach."""
-    t.spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     events = budget.steps(projected(t, "budget_events", "events"))
-    rows = ledger.drain(budget.enforce(events, 9000.0), "budget")
+    with setting(t.spark, "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"):
+        rows = ledger.drain(budget.enforce(events, 9000.0), "budget")
     return rounded(rows.withColumn("ts", F.col("ts").cast("timestamp_ntz")), 4)
 
 

@@ -133,14 +133,14 @@ def parse_turns(t):
 
 
 @query("provider_turns", """with o as (select doc_id, to_json({'transcript': case when doc_id % 3 = 0 then null else lang end, 'diarized_transcript': {'entries': [
-   {'speaker_id': '0', 'transcript': ' ' || left(text, 20) || ' ', 'start_time_seconds': 0.0, 'end_time_seconds': 1.5}, {'speaker_id': '1', 'transcript': '  ', 'start_time_seconds': 2.0, 'end_time_seconds': 3.0},
+   {'speaker_id': '0', 'transcript': ' ' || text || ' ', 'start_time_seconds': 0.0, 'end_time_seconds': 1.5}, {'speaker_id': '1', 'transcript': '  ', 'start_time_seconds': 2.0, 'end_time_seconds': 3.0},
    {'speaker_id': '1', 'transcript': source, 'start_time_seconds': 3.0, 'end_time_seconds': 4.0}]}}) as body from documents)
- select d.doc_id, 'sarvam:0=' || trim(left(text, 20)) || '|sarvam:1=' || source as turns, case when d.doc_id % 3 = 0 then trim(left(text, 20)) || ' ' || source else lang end as text from documents d where trim(left(text, 20)) <> ''
- union all select d.doc_id, 'sarvam:1=' || source, case when d.doc_id % 3 = 0 then source else lang end from documents d where trim(left(text, 20)) = ''""")
+ select d.doc_id, 'sarvam:0=' || trim(text) || '|sarvam:1=' || source as turns, case when d.doc_id % 3 = 0 then trim(text) || ' ' || source else lang end as text from documents d where trim(text) <> ''
+ union all select d.doc_id, 'sarvam:1=' || source, case when d.doc_id % 3 = 0 then source else lang end from documents d where trim(text) = ''""")
 def provider_turns(t):
     entry = lambda who, said, a, b: F.struct(F.lit(who).alias("speaker_id"), said.alias("transcript"), F.lit(a).alias("start_time_seconds"), F.lit(b).alias("end_time_seconds"))
     body = F.to_json(F.struct(F.when(F.col("doc_id") % 3 != 0, F.col("lang")).alias("transcript"), F.struct(F.array(
-        entry("0", F.concat(F.lit(" "), F.left("text", F.lit(20)), F.lit(" ")), 0.0, 1.5), entry("1", F.lit("  "), 2.0, 3.0),
+        entry("0", F.concat(F.lit(" "), F.col("text"), F.lit(" ")), 0.0, 1.5), entry("1", F.lit("  "), 2.0, 3.0),
         entry("1", F.col("source"), 3.0, 4.0)).alias("entries")).alias("diarized_transcript")))
     rows = cs.provider_turns(t.raw("documents").select("doc_id", body.alias("body")))
     return rows.select("doc_id", F.array_join(F.transform("turns", lambda x: F.concat(x["speaker"], F.lit("="), x["text"])), "|").alias("turns"), "text")

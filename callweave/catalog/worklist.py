@@ -88,7 +88,7 @@ CONTEXT = "case category " + " ".join(f"when '{k}' then '{v.replace(chr(39), chr
   {CONTEXT} as historical_context,
   case when live_date is null then 'No usable conversation' else {HUMAN('live_date')} || ' (' || days_since || ' days before cutoff)' end as last_conversation,
   buying_intent || coalesce(' Condition: ' || condition || ' (' || case condition_can_be_met when 'yes' then 'a decision the company controls'
-    when 'no' then 'the company does not offer this' else 'depends on the lead' end || ').', '') as buying_intent, experience,
+    when 'no' then 'the company does not offer this' when 'unclear' then 'depends on the lead' else 'unclear' end || ').', '') as buying_intent, experience,
   coalesce(open_objections, 'None open') as open_objections, 'Recording validation pending' as validation
  from graded g join proof p on p.lead = g.lead left join listed l on l.lead = g.lead""")
 def worklist_rows(t):

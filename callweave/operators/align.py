@@ -64,41 +64,46 @@ def call_words(segments, by="segment_id"):
                           F.flatten(F.transform("xs", lambda x: F.transform(x["words"], lambda _: x["at"]))).alias("owners"))
 
 
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField(n, T.IntegerType()) for n in ("i", "j", "n")])))
+def _match_blocks(words: pd.Series, theirs: pd.Series) -> pd.Series:
+    """The stretches two word lists share, in order, and an empty one at their ends."""
+    return pd.Series([[dict(zip("ijn", m)) for m in _blocks(list(a), [] if b is None else list(b)).get_matching_blocks()] for a, b in zip(words, theirs)])
+
+
 def word_owners(base, other):
     """For each call, whether the other system has each base word, and the base position each other word belongs to.
 
-    `base` and `other` come from call_words. Output rows: call_id, side ('base' / 'other'), at (word position), word,
-    owner (segment the word belongs to), matched. Settled, because every share and vote starts from it."""
+    `base` and `other` come from call_words. Python finds the shared stretches; everything else is columns: words of the other
+    system inside a stretch belong to the base word they equal, those between two stretches are spread evenly over the base
+    words there, or go with the next base word where there is none. Output rows: call_id, side ('base' / 'other'), at (word
+    position), word, owner (segment the word belongs to), turn, matched. Settled, because every share and vote starts from it."""
     pairs = base.select("call_id", "words", "owners").join(
-        other.select("call_id", F.col("words").alias("other_words"), F.col("owners").alias("other_owners")), "call_id", "left")
-
-    def match(batches):
-        for batch in batches:
-            out = {k: [] for k in ("call_id", "side", "at", "word", "owner", "turn", "matched")}
-
-            def add(call, side, at, word, owner, turn, matched):
-                for key, value in zip(out, (call, side, at, word, owner, turn, matched)):
-                    out[key].append(value)
-
-            for call, words, owners, theirs, turns in zip(batch["call_id"], batch["words"], batch["owners"], batch["other_words"], batch["other_owners"]):
-                words, owners = list(words), list(owners)
-                theirs = [] if theirs is None else list(theirs)
-                turns = [] if turns is None else list(turns)
-                hit = [False] * len(words)
-                for tag, i1, i2, j1, j2 in _blocks(words, theirs).get_opcodes():
-                    if tag == "equal":
-                        hit[i1:i2] = [True] * (i2 - i1)
-                    for j in range(j1, j2):
-                        if i2 > i1:  # matched or replaced: spread over the base words of the stretch
-                            i = i1 + (j - j1) * (i2 - i1) // (j2 - j1)
-                        else:  # inserted: goes with the next base word
-                            i = min(i1, len(words) - 1)
-                        add(call, "other", j, theirs[j], owners[i] if words else None, turns[j], tag == "equal")
-                for i, word in enumerate(words):
-                    add(call, "base", i, word, owners[i], None, hit[i])
-            yield pd.DataFrame(out).astype({"owner": "Int64", "turn": "Int64"})
-
-    return settle(spread(pairs, "call_id").mapInPandas(match, "call_id string, side string, at bigint, word string, owner bigint, turn bigint, matched boolean"))
+        other.select("call_id", F.col("words").alias("theirs"), F.col("owners").alias("turns")), "call_id", "left")
+    matched = spread(pairs, "call_id").withColumn("blocks", _match_blocks("words", "theirs"))
+    # Each shared stretch with the gap before it: base words i0..i-1 against other words j0..j-1.
+    before = lambda k, side: F.when(k > 0, F.get("blocks", k - 1)[side] + F.get("blocks", k - 1)["n"]).otherwise(0)
+    spans = F.transform("blocks", lambda m, k: F.struct(before(k, "i").alias("i0"), before(k, "j").alias("j0"), m["i"].alias("i"), m["j"].alias("j"), m["n"].alias("n")))
+    matched = matched.withColumn("spans", spans)
+    run = lambda start, count: F.when(count > 0, F.sequence(start, start + count - 1)).otherwise(F.array().cast("array<int>"))
+    last = F.size("words") - 1
+
+    def mine(i, hit):
+        return F.struct(F.lit("base").alias("side"), i.alias("at"), F.get("words", i).alias("word"), F.get("owners", i).alias("owner"),
+                        F.lit(None).cast("bigint").alias("turn"), F.lit(hit).alias("matched"))
+
+    def heard(j, i, hit):
+        return F.struct(F.lit("other").alias("side"), j.alias("at"), F.get("theirs", j).alias("word"), F.get("owners", i.cast("int")).alias("owner"),
+                        F.get("turns", j).cast("bigint").alias("turn"), F.lit(hit).alias("matched"))
+
+    def rows(s):
+        gap = s["i"] - s["i0"]
+        share = lambda j: F.when(gap > 0, s["i0"] + F.floor((j - s["j0"]) * gap / (s["j"] - s["j0"]))).otherwise(F.least(s["i0"], last))
+        return F.concat(F.transform(run(s["i0"], gap), lambda i: mine(i, False)), F.transform(run(s["i"], s["n"]), lambda i: mine(i, True)),
+                        F.transform(run(s["j0"], s["j"] - s["j0"]), lambda j: heard(j, share(j), False)),
+                        F.transform(run(s["j"], s["n"]), lambda j: heard(j, s["i"] + j - s["j"], True)))
+
+    words = matched.select("call_id", F.inline(F.flatten(F.transform("spans", rows))))
+    return settle(words.withColumns({"at": F.col("at").cast("bigint"), "owner": F.col("owner").cast("bigint")}))
 
 
 def segment_agreement(segments, owners):
@@ -119,11 +124,14 @@ def segment_agreement(segments, owners):
     return rows.withColumn("char_agreement", F.coalesce("__n", ratio)).drop("__a", "__b", "__n")
 
 
-def call_agreement(owners):
-    """Share of words two systems agree on over a whole call."""
+def call_agreement(owners, calls=None):
+    """Share of words two systems agree on over a whole call. `calls` (call_id) adds those without a word in either: 1."""
     per = owners.groupBy("call_id").agg(F.count_if(F.col("side") == "base").alias("b"), F.count_if(F.col("side") == "other").alias("o"),
                                         F.count_if((F.col("side") == "base") & F.col("matched")).alias("hits"))
-    return per.select("call_id", (F.col("hits") / F.nullif(F.greatest("b", "o"), F.lit(0))).alias("agreement"))
+    shares = per.select("call_id", (F.col("hits") / F.nullif(F.greatest("b", "o"), F.lit(0))).alias("agreement"))
+    if calls is None:
+        return shares
+    return calls.select("call_id").distinct().join(shares, "call_id", "left").na.fill(1.0, ["agreement"])
 
 
 def segment_speakers(owners, turns):
@@ -170,35 +178,45 @@ def piece_words(pieces):
     return rows.groupBy("call_id", "piece").agg(F.array_sort(F.collect_list(F.struct("turn", "at", "word", "plain", "role"))).alias("words"))
 
 
+def _cuts(said):
+    """Per piece how many of its words repeat the text before it: up to the end of the last shared run that is long enough, 0
+    without words before it, None without a clear overlap. said: the comparable words of the pieces in order."""
+    text, cuts = [], []
+    for words in said:
+        end = 0
+        if text and words:
+            runs = [m for m in _blocks(text[-TAIL_WORDS:], words[:HEAD_WORDS]).get_matching_blocks() if m.size]
+            ends = [m.b + m.size for m in runs if m.size >= MIN_RUN]
+            end = ends[-1] if ends and sum(m.size for m in runs) >= MIN_TOTAL_MATCH else None
+        cuts.append(end)
+        text += words[end or 0:]
+    return cuts
+
+
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
+def _piece_cuts(said: pd.Series) -> pd.Series:
+    return pd.Series([_cuts([list(words) for words in pieces]) for pieces in said])
+
+
 def stitch(pieces):
     """Join overlapping pieces of each call: words a piece repeats from the end of the text before it are dropped up to
     the end of the last run of three or more equal words; a join without a clear overlap is kept whole and flagged.
 
-    Where a piece is cut depends on the joined text before it, so a call's pieces are folded in order in one task; a
-    call is a bounded recording (its pieces last ten minutes each). Output: call_id, piece, turn, role, text, flag, where
-    flag marks the first row of an unmatched piece."""
-    folded = piece_words(pieces)
-
-    def fold(key, pdf):
-        tail, out = [], []
-        for piece, words in sorted(zip(pdf["piece"], pdf["words"]), key=lambda x: x[0]):
-            fresh, flag = list(words), None
-            if tail and fresh:
-                found = [m for m in _blocks([w["plain"] for w in tail], [w["plain"] for w in fresh[:HEAD_WORDS]]).get_matching_blocks() if m.size]
-                runs = [m for m in found if m.size >= MIN_RUN]
-                if runs and sum(m.size for m in found) >= MIN_TOTAL_MATCH:
-                    fresh = fresh[runs[-1].b + runs[-1].size:]
-                else:
-                    flag = f"join_{piece}_unmatched"
-            tail = (tail + fresh)[-TAIL_WORDS:]
-            turns = {}
-            for w in fresh:
-                turns.setdefault(w["turn"], (w["role"], []))[1].append(w["word"])
-            for n, (turn, (role, said)) in enumerate(turns.items()):
-                out.append((key[0], int(piece), int(turn), role, " ".join(said), flag if n == 0 else None))
-        return pd.DataFrame(out, columns=["call_id", "piece", "turn", "role", "text", "flag"])
-
-    return folded.groupBy("call_id").applyInPandas(fold, "call_id string, piece bigint, turn bigint, role string, text string, flag string")
+    Where a piece is cut depends on the joined text before it, so one row per call gives its cuts; a call is a bounded recording
+    (its pieces last ten minutes each). Cutting and joining the turns are columns. Output: call_id, piece, turn, role, text,
+    flag, where flag marks the first row of an unmatched piece."""
+    ordered = piece_words(pieces).groupBy("call_id").agg(F.array_sort(F.collect_list(F.struct("piece", "words"))).alias("pieces"))
+    plain = F.transform("pieces", lambda p: F.transform(p["words"], lambda w: w["plain"]))
+    cut = ordered.withColumn("cuts", _piece_cuts(plain))
+    left = F.transform("pieces", lambda p, k: F.struct(
+        p["piece"].alias("piece"), F.get("cuts", k).isNull().alias("unmatched"),
+        F.slice(p["words"], F.coalesce(F.get("cuts", k), F.lit(0)) + 1, F.size(p["words"])).alias("words")))
+    rows = cut.select("call_id", F.inline(left)).select("call_id", "piece", "unmatched", F.posexplode("words").alias("place", "w"))
+    turns = rows.groupBy("call_id", "piece", "unmatched", F.col("w.turn").alias("turn")).agg(
+        F.min_by("w.role", "place").alias("role"), F.min("place").alias("place"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "w.word"))), lambda x: x["word"]), " ").alias("text"))
+    flag = F.when(F.col("unmatched") & (F.col("place") == 0), F.concat(F.lit("join_"), F.col("piece").cast("string"), F.lit("_unmatched")))
+    return turns.select("call_id", F.col("piece").cast("bigint").alias("piece"), F.col("turn").cast("bigint").alias("turn"), "role", "text", flag.alias("flag"))
 
 
 def edit_counts(words_a, words_b):
@@ -237,7 +255,7 @@ def word_edits(pairs, reference="reference", hypothesis="hypothesis"):
     """Edit counts per row; equal texts never reach Python."""
     rows = pairs.withColumns({"__r": _plain_words(F.col(reference)), "__h": _plain_words(F.col(hypothesis))})
     same = F.col("__r") == F.col("__h")
-    rows = spread(rows, F.xxhash64("__r", "__h"))
+    rows = spread(rows)
     rows = rows.withColumn("e", _edits(F.when(same, F.array().cast("array<string>")).otherwise(F.col("__r")),
                                        F.when(same, F.array().cast("array<string>")).otherwise(F.col("__h"))))
     return rows.withColumns({"hits": F.when(same, F.size("__r").cast("bigint")).otherwise(F.col("e.hits")), "substitutions": F.col("e.substitutions"),

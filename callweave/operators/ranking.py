@@ -5,6 +5,9 @@ runs per (key, bucket), and the buckets' totals, one small row each, are scanned
 result equals the plain window. The wide rows are shuffled once, by (key, bucket).
 """
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -13,6 +16,14 @@ def _start(keys):
     return Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
 
 
+def join_back(left, right, keys, how="inner"):
+    """Join on keys where null meets null, so no row is lost for a missing key; right's copies of the keys go."""
+    names = {k: f"__right_{k}" for k in keys}
+    right = right.withColumnsRenamed(names)
+    same = reduce(and_, [left[k].eqNullSafe(right[n]) for k, n in names.items()])
+    return left.join(right, same, how).drop(*names.values())
+
+
 def prefix_scan(df, keys, order, bucket, value, out, how="sum", size=None):
     """Running sum or max of `value` along `order` within `keys`, current row included.
 
@@ -28,7 +39,7 @@ def prefix_scan(df, keys, order, bucket, value, out, how="sum", size=None):
     within = Window.partitionBy(*keys, "__bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     here = combine("__value").over(within)
     result = F.coalesce(F.col("__before"), F.lit(0)) + here if how == "sum" else F.greatest(F.col("__before"), here)
-    return marked.join(starts, [*keys, "__bucket"]).withColumn(out, result).drop("__bucket", "__value", "__before", "__total")
+    return join_back(marked, starts, [*keys, "__bucket"]).withColumn(out, result).drop("__bucket", "__value", "__before", "__total")
 
 
 def positions(df, keys, order, bucket, out="position", size=None):
@@ -50,7 +61,7 @@ def _global_rank(df, hash_column, out, digits):
     starts = totals.select("__bucket", F.sum("count").over(Window.orderBy("__bucket").rowsBetween(
         Window.unboundedPreceding, -1)).alias("__before"))
     within = Window.partitionBy("__bucket").orderBy(hash_column)
-    return (marked.join(F.broadcast(starts), "__bucket")
+    return (join_back(marked, F.broadcast(starts), ["__bucket"])
             .withColumn(out, F.coalesce(F.col("__before"), F.lit(0)) + F.row_number().over(within))
             .drop("__bucket", "__before"))
 
@@ -58,7 +69,7 @@ def _global_rank(df, hash_column, out, digits):
 def neighbour(df, keys, position, columns, offset, prefix):
     """The named columns of the row `offset` positions away, joined on (keys, position): no window."""
     other = df.select(*keys, (F.col(position) - offset).alias(position), *[F.col(c).alias(prefix + c) for c in columns])
-    return df.join(other, [*keys, position], "left")
+    return join_back(df, other, [*keys, position], "left")
 
 
 def islands(df, keys, position, flagged, bucket, out):
@@ -69,4 +80,4 @@ def islands(df, keys, position, flagged, bucket, out):
     runs = marked.groupBy(*keys, "__anchor").agg(F.min(position).alias("__first"))
     numbered = positions(runs, keys, ["__anchor"], F.floor(F.col("__anchor") / 1024), out)
     numbered = numbered.withColumn(out, F.col(out) - 1).drop("__first")
-    return marked.join(numbered, [*keys, "__anchor"]).drop("__anchor", "__rank")
+    return join_back(marked, numbered, [*keys, "__anchor"]).drop("__anchor", "__rank")

@@ -1,5 +1,8 @@
 """Names out of generated text: dictionary names, spoken names, guessed pronouns and internal terms."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
@@ -18,11 +21,12 @@ def _words(df, column, pattern):
 
 
 def name_words(calls, leads, corpus, ordinary=("data",)):
-    """(staff, lead) name words. A word that also occurs in lower case in the corpus is an ordinary word."""
+    """(staff, lead) name words; staff are the calls' salespeople and, where that column is there, current owners. A word that also occurs in lower case in the corpus is an ordinary word."""
     common = _words(corpus, "text", r"(?U)\b[a-z]{3,}\b").distinct()
     known = lambda df, column: _words(df.select(F.lower(F.coalesce(F.col(column), F.lit(""))).alias("n")), "n", NAME_WORD).distinct().filter(
         ~F.col("word").isin(*ordinary)).join(common, "word", "left_anti")
-    return known(calls.select("salesperson").distinct(), "salesperson"), known(leads, "lead_name")
+    people = [calls.select(F.col(c).alias("name")) for c in ("salesperson", "current_owner") if c in calls.columns]
+    return known(reduce(DataFrame.union, people).distinct(), "name"), known(leads, "lead_name")
 
 
 def own_words(leads):

@@ -136,7 +136,7 @@ def with_tests(factors):
     rows = rows.withColumns({"__i": F.row_number().over(Window.orderBy("p", "factor")), "__m": F.count(F.lit(1)).over(Window.partitionBy())})
     from_here = Window.orderBy(F.col("__i").desc()).rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("p_adjusted", F.least(F.lit(1.0), F.min(F.col("p") * F.col("__m") / F.col("__i")).over(from_here)))
-    return rows.withColumn("clear", F.col("p_adjusted") < 0.05).drop("__i", "__m")
+    return rows.withColumn("clear", F.col("p_adjusted") < 0.05).drop("__i", "__m").orderBy("p", "factor")
 
 
 def grades(records, sample=OPEN_SAMPLE, population=OPEN_POPULATION):

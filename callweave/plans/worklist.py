@@ -100,7 +100,8 @@ def worklist_rows(rows, evidence, calls, signed=None):
         F.array_compact(F.array(F.when(c("decisive").isNotNull(), cite(F.lit("Why"), c("decisive"))))),
         F.coalesce(F.transform("first_two", lambda x: cite(F.concat(F.lit("Objection ("), x["e"]["topic"], F.lit(")")), x["e"])), F.array().cast("array<string>")))
     proof_text = F.array_join(F.array_distinct(proof), "\n")
-    met = case_of(c("condition_can_be_met"), {"yes": "a decision the company controls", "no": "the company does not offer this"}, "depends on the lead")
+    met = case_of(c("condition_can_be_met"), {"yes": "a decision the company controls", "no": "the company does not offer this",
+                                             "unclear": "depends on the lead"}, "unclear")
     intent = F.concat(c("buying_intent"), F.coalesce(F.concat(F.lit(" Condition: "), c("condition"), F.lit(" ("), met, F.lit(").")), F.lit("")))
     action = F.concat(F.when(c("category") == "Dormant: reconfirm", "Message the lead to reconfirm interest before any call. If the lead replies: ")
                       .otherwise(""), c("next_action"))
@@ -197,9 +198,10 @@ def review_claims(rows, evidence):
 
 
 def review_sheet(claims, prior):
-    """Claims with earlier signatures kept. `prior` has one row per (lead, claim, quote)."""
+    """Claims with earlier signatures kept; of several prior rows of a (lead, claim, quote) the latest reviewed counts."""
     fields = ["verdict", "note", "reviewer", "reviewed_at"]
-    kept = prior.select("lead", "claim", "quote", F.lit(True).alias("__kept"), *[F.col(f).alias("__" + f) for f in fields])
+    latest = prior.groupBy("lead", "claim", "quote").agg(F.max_by(F.struct(*fields), F.coalesce("reviewed_at", F.lit(""))).alias("p"))
+    kept = latest.select("lead", "claim", "quote", *[F.col(f"p.{f}").alias("__" + f) for f in fields])
     return claims.join(kept, ["lead", "claim", "quote"], "left").select(
         *claims.columns, *[F.coalesce("__" + f, F.lit("")).alias(f) for f in fields])
 

@@ -2,6 +2,7 @@
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -26,6 +27,20 @@ def tune(spark):
     return spark
 
 
+@contextmanager
+def setting(spark, key, value):
+    """A session setting for the length of a block."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def build(app="callweave", master=None, shuffle_partitions=None):
     """A session for local runs and tests; on a cluster pass no master and let spark-submit decide."""
     builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
@@ -41,11 +56,13 @@ def build(app="callweave", master=None, shuffle_partitions=None):
 
 
 def checkpoint_dir(spark):
-    """The shared folder the cluster names in spark.checkpoint.dir. Only where that is unset, as in local tests, a fresh
-    temporary folder."""
+    """The shared folder the cluster names in spark.checkpoint.dir. Only a local master, as in tests, may leave that unset: it
+    gets a fresh temporary folder, which executors of a cluster could not see."""
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError("Set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="callweave-")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)

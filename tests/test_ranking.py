@@ -2,6 +2,7 @@
 
 import random
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from callweave.functions.keys import dataset_digest, digest
@@ -71,3 +72,16 @@ def test_digest_matches_the_json_text_and_dataset_digest_sees_changes(spark):
     other = spark.createDataFrame([("a", 1), ("b", 3)], "k string, v int")
     digests = [dataset_digest(d).first()["sha256"] for d in (one, same, other)]
     assert digests[0] == digests[1] != digests[2]
+
+
+def test_null_keys_and_dates_keep_their_rows(spark, rows):
+    """Equals the plain window, nulls included."""
+    data = [(k, d, n, v) for n, (k, d, v) in enumerate([("a", "2026-01-01", 3), ("a", None, 5), ("a", "2026-01-02", 1), (None, "2026-01-01", 7), (None, "2026-01-03", 2), (None, None, 4)])]
+    df = spark.createDataFrame(data, "k string, d string, n int, v int").withColumn("d", F.col("d").cast("date"))
+    w = Window.partitionBy("k").orderBy("d", "n").rowsBetween(Window.unboundedPreceding, 0)
+    want = df.withColumn("out", F.sum("v").over(w)).withColumn("size", F.sum("v").over(Window.partitionBy("k")))
+    assert rows(ranking.prefix_scan(df, ["k"], ["d", "n"], F.col("d"), F.col("v").cast("bigint"), "out", size="size")) == rows(want)
+    placed = ranking.positions(df, ["k"], ["d", "n"], F.col("d"), "at")
+    assert placed.count() == 6
+    after = ranking.neighbour(placed, ["k"], "at", ["v"], 1, "next_")
+    assert rows(after.select("k", "d", "next_v")) == rows(df.select("k", "d", F.lead("v").over(Window.partitionBy("k").orderBy("d", "n"))))
