@@ -33,8 +33,11 @@ def _quotas(spark, quotas):
     return F.broadcast(constants(spark, [(int(k), int(v)) for k, v in quotas.items()], "calls bigint, quota bigint"))
 
 
-def stratified(leads, seed, quotas):
-    """First `quota` leads of each journey length by hash. `leads` has lead and calls."""
+def stratified(leads, seed, quotas, strict=True):
+    """First `quota` leads of each journey length by hash. `leads` has lead and calls. A short stratum is an error; with
+    strict=False it gives the leads there are."""
+    if strict:
+        check_quotas(leads, quotas)
     rows = leads.join(_quotas(leads.sparkSession, quotas), "calls").withColumn("draw_hash", digest(seed, F.col("lead")))
     window = Window.partitionBy("calls").orderBy("draw_hash")
     limit = max(quotas.values())  # lets Spark cut each task's rows before the shuffle
@@ -42,9 +45,11 @@ def stratified(leads, seed, quotas):
         F.col("draw_rank") <= F.col("quota"))
 
 
-def balanced(leads, seed, quotas):
+def balanced(leads, seed, quotas, strict=True):
     """Stratified draw that takes outcomes in turn, prefers leads whose agents carry few calls, then hash order.
-    `leads` has lead, calls, outcome and agent_load."""
+    `leads` has lead, calls, outcome and agent_load; strict as in `stratified`."""
+    if strict:
+        check_quotas(leads, quotas)
     rows = leads.join(_quotas(leads.sparkSession, quotas), "calls").withColumn("draw_hash", digest(seed, F.col("lead")))
     limit = max(quotas.values())
     turn = Window.partitionBy("calls", "outcome").orderBy("agent_load", "draw_hash")
@@ -113,10 +118,13 @@ def cohort_calls(calls, leads, name, prefix, width=3):
 
 
 def select_calls(calls, split=None, call_ids=None, limit=None):
-    """Calls by split and ids, optionally the first `limit` in journey order."""
+    """Calls by split and ids, optionally the first `limit` in journey order. An id outside the split is an error."""
     if split:
         calls = calls.filter(F.col("split") == split)
     if call_ids is not None:
+        unknown = sorted(r["call_id"] for r in missing_ids(calls, call_ids).limit(5).collect())
+        if unknown:
+            raise ValueError(f"Unknown call ids in this selection: {', '.join(unknown)}")
         calls = calls.join(call_ids, "call_id", "left_semi")
     return calls.orderBy("created_on", "call_id").limit(limit) if limit else calls
 
