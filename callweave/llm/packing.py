@@ -12,6 +12,9 @@ any length is cut; an empty table gives no rows. Only the id and text columns ar
 
 import os
 import zlib
+from array import array
+from collections import Counter
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -22,33 +25,69 @@ from .common import small, stored
 
 CAPACITY, CLOSING = 2048, 0
 # Words whose ids a Python worker remembers before it starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 # Pieces numbered together within one length.
 RANK_ROWS = 50_000
 # Steps of the least-squares iteration, and middle lengths tried for patterns of three.
 ROUNDS, MIDDLES = 400, 48
+# Shares of the fitted repeats that are tried; the last is best fit alone, so that no plan is worse than it.
+SHARES = (1.0, 0.9, 0.6, 0.3, 0.0)
+
+
+def byte_letters():
+    """The letter that stands for each byte in the vocabulary: printable bytes stand for themselves, the others follow from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
 class WordIds:
-    """Token ids of texts as little-endian unsigned 32-bit bytes. The tokenizer never joins text over ASCII white space, so
-    ids are those of the words between; words are looked up once."""
+    """Token ids of texts as little-endian unsigned 32-bit bytes. The tokenizer never joins text over ASCII white space and
+    lower-cases it, and its pieces never mix letters with other signs; so ids are those of the words between, and those of a
+    word with signs after it are the word's and the signs'. Words are looked up once. A new word of lower-case letters in normal
+    form is one piece as it stands and goes straight to the model; any other goes through the whole tokenizer."""
+
+    SIGNS = b".,;:!?%#&*$"
 
     def __init__(self, path):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.tokenizer, self.known = Tokenizer.from_file(path), Remembered(self.learn)
+        self.model, self.letters = self.tokenizer.model, byte_letters()
+
+    def learn(self, word):
+        """The ids of a word seen for the first time."""
+        if b"<|" in word:  # may hold a special token, which is not lower-cased
+            return self.whole(word)
+        low = word.lower()
+        base = low.rstrip(self.SIGNS)
+        if base != low and base[-1:].isalnum():
+            return self.known[base] + self.known[low[len(base):]]
+        text = low.decode()
+        if not (text.isalpha() and text == text.lower() and is_normalized("NFC", text)):
+            return self.whole(low)
+        found = self.model.tokenize(text if text.isascii() else low.decode("latin-1").translate(self.letters))
+        return array("I", [t.id for t in found]).tobytes()
+
+    def whole(self, word):
+        return array("I", self.tokenizer.encode(word.decode(), add_special_tokens=False).ids).tobytes()
 
     def encode(self, texts):
         for text in texts:
-            words = (text or "").encode().split()
-            new = [w for w in set(words) if w not in self.known]
-            if len(self.known) + len(new) > REMEMBERED:
-                self.known, new = {}, list(set(words))
-            for at in range(0, len(new), 1000):
-                part = new[at:at + 1000]
-                for word, e in zip(part, self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)):
-                    self.known[word] = np.array(e.ids, "<u4").tobytes()
-            yield b"".join(map(self.known.__getitem__, words))
+            if len(self.known) > REMEMBERED:
+                self.known.clear()
+            yield b"".join(map(self.known.__getitem__, (text or "").encode().split()))
+
+
+class Remembered(dict):
+    """What a function gave for each key asked for."""
+
+    def __init__(self, find):
+        self.find = find
+
+    def __missing__(self, key):
+        found = self[key] = self.find(key)
+        return found
 
 
 _ENCODERS = {}
@@ -112,26 +151,32 @@ def nonnegative_fit(patterns, counts, rounds=ROUNDS):
 
 
 def plan(counts, capacity=CAPACITY):
-    """Runs (pattern, repeats) that place counts[n] pieces of every length n; a pattern is a tuple of (length, times)."""
+    """Runs (pattern, repeats) that place counts[n] pieces of every length n; a pattern is a tuple of (length, times). The
+    fitted repeats are taken whole and in part, and the plan of fewest sequences is kept."""
     left, runs = counts.astype(np.int64).copy(), []
     if left[capacity]:
         runs.append((((capacity, 1),), int(left[capacity])))
         left[capacity] = 0
     lengths = np.nonzero(left)[0]
     patterns = exact_patterns(lengths, capacity) if len(lengths) else np.zeros((0, 3), int)
-    if len(patterns):
-        x = nonnegative_fit(patterns, left.astype(float))
-        # Running sums round each pattern so that sums over neighbours stay near the fit; stock on hand limits the rest.
-        order = np.lexsort((-patterns[:, 1], -patterns[:, 0]))
-        wanted = np.diff(np.floor(np.concatenate([[0.0], np.cumsum(x[order])]) + 1e-9)).astype(np.int64)
-        for p, n in zip(patterns[order], wanted):
-            if n:
-                need = {int(v): int(t) for v, t in zip(*np.unique(p[p > 0], return_counts=True))}
-                n = min(int(n), *(int(left[v]) // t for v, t in need.items()))
-                if n > 0:
-                    runs.append((tuple(sorted(need.items(), reverse=True)), n))
-                    for v, t in need.items():
-                        left[v] -= n * t
+    x = nonnegative_fit(patterns, left.astype(float)) if len(patterns) else np.zeros(0)
+    plans = [rounded(patterns, x * share, left, capacity) for share in SHARES]
+    return runs + min(plans, key=lambda found: sum(n for _, n in found))
+
+
+def rounded(patterns, x, counts, capacity):
+    """Whole repeats near x, and best fit for the rest. Running sums round each pattern so that sums over neighbours stay near
+    the fit; stock on hand limits them."""
+    left, runs = counts.copy(), []
+    order = np.lexsort((-patterns[:, 1], -patterns[:, 0]))
+    wanted = np.diff(np.floor(np.concatenate([[0.0], np.cumsum(x[order])]) + 1e-9)).astype(np.int64)
+    for p, n in zip(patterns[order][wanted > 0].tolist(), wanted[wanted > 0].tolist()):
+        need = Counter(v for v in p if v)
+        n = min(n, *(int(left[v]) // t for v, t in need.items()))
+        if n > 0:
+            runs.append((tuple(sorted(need.items(), reverse=True)), n))
+            for v, t in need.items():
+                left[v] -= n * t
     return runs + best_fit(left, capacity)
 
 
