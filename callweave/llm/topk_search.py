@@ -1,8 +1,8 @@
 """Exact top-k inner-product search over an impact-ordered index, score at a time.
 
 Vectors are quantised to integers. Rows and queries are dealt into blocks by hash; every pair of a row block and a query block is
-one unit of work. In it, postings (component, impact, rows) are processed in order of falling impact |v| for all queries of
-the block together. What is still unprocessed of a row has a known length, so by Cauchy-Schwarz the row's score lies within
+one unit of work. In it, postings are segments of rows by quantised impact, the power of two in |v|; segments are processed in
+order of falling impact for all queries of the block together. What is still unprocessed of a row has a known length, so by Cauchy-Schwarz the row's score lies within
 (rest of the row) * (length of the query) of what has been added up. Rows whose upper bound is below the k-th lower bound
 are proven out; processing stops only when few others are left, and those are rescored exactly. The k best of each unit are merged
 with a rank limit.
@@ -41,41 +41,40 @@ def matrix(vectors, width):
 
 
 class ImpactIndex:
-    """Postings of a block: (component, value) segments of rows, by falling |value|."""
-
-    def __init__(self, rows):
-        self.rows = rows
-        at, component = np.nonzero(rows)
-        value = rows[at, component]
-        order = np.lexsort((at, component, value, -np.abs(value)))
-        at, component, value = at[order], component[order], value[order]
-        new = np.flatnonzero(np.r_[True, (np.diff(value) != 0) | (np.diff(component) != 0)]) if len(at) else np.zeros(0, int)
-        ends = np.r_[new[1:], len(at)]
-        self.segments = [(abs(value[a]), component[a], value[a], at[a:b]) for a, b in zip(new, ends)]
+    """Postings of a block of rows by falling impact: per power of two the rows with such components, and these components."""
+
+    def __init__(self, rows, kind):
+        self.squares = (rows ** 2).sum(1)
+        level = np.frexp(np.abs(rows))[1]  # 0 for zeros, n for 2**(n-1) <= |v| < 2**n
+        self.segments = []
+        for n in range(int(level.max(initial=0)), 0, -1):
+            at = np.flatnonzero((level == n).any(1))
+            self.segments.append((at, np.where(level[at] == n, rows[at], 0).astype(kind)))
 
     def candidates(self, queries, own, k):
         """(row, query) pairs that may be among a query's k best; own is a mask of pairs that may not."""
-        n, squares = len(self.rows), (self.rows ** 2).sum(1)
-        lengths = np.sqrt((queries ** 2).sum(1))
-        scores = np.zeros((n, len(queries)))
+        lengths = np.sqrt((queries.astype(float) ** 2).sum(1))
+        scores = np.zeros((len(self.squares), len(queries)), queries.dtype)
         scores[own] = -np.inf
-        done, last = np.zeros(n), None
-        for i, (impact, component, value, rows) in enumerate(self.segments):
-            if impact != last and last is not None and last <= 8 * np.sqrt(squares.max() / max(1, queries.shape[1])) and (
-                    possible := self.possible(scores, squares - done, lengths, k)) is not None:
-                return possible
-            scores[rows] += value * queries[:, component]
-            done[rows] += value * value
-            last = impact
-        return self.possible(scores, np.zeros(n), lengths, k, always=True)
+        rest = self.squares.copy()
+        for at, postings in self.segments[:-1]:
+            scores[at] += postings @ queries.T
+            rest[at] -= (postings.astype(float) ** 2).sum(1)
+            # A proof needs the unprocessed rest to be short; before that it is not worth trying.
+            if rest.sum() * 8 <= self.squares.sum() and (found := self.possible(scores, rest, lengths, k)) is not None:
+                return found
+        for at, postings in self.segments[-1:]:
+            scores[at] += postings @ queries.T
+        return self.possible(scores, np.zeros(len(rest)), lengths, k, always=True)
 
     def possible(self, scores, rest, lengths, k, always=False):
-        """The pairs not proven out, or None while they are many."""
-        slack = np.sqrt(np.maximum(rest, 0))[:, None] * lengths * (1 + 1e-9) + (rest > 0)[:, None] * 1e-6
+        """The pairs not proven out, or None while they are many. The slack has a margin for rounding."""
+        slack = (np.sqrt(np.maximum(rest, 0))[:, None] * lengths + (rest > 0)[:, None] * 1.0).astype(scores.dtype)
         if len(scores) > k:
-            least = np.partition(scores - slack, len(scores) - k, axis=0)[len(scores) - k]
+            low = scores if always else scores - slack
+            least = np.partition(low, len(scores) - k, axis=0)[len(scores) - k]
         else:
-            least = np.full(len(lengths), -np.inf)
+            least = np.full(len(lengths), -np.inf, scores.dtype)
         open_ = (scores + slack >= least) & (scores > -np.inf)
         return np.nonzero(open_) if always or open_.sum() <= FEW * len(lengths) else None
 
@@ -85,7 +84,9 @@ def block_search(rows, queries, k):
     width = max(max(map(len, rows["v"])), max(map(len, queries["v"])))
     x, q = matrix(rows["v"], width), matrix(queries["v"], width)
     ids, asked = rows["id"].to_numpy(), queries["id"].to_numpy()
-    at, of = ImpactIndex(x).candidates(q, ids[:, None] == asked, k)
+    # Single precision holds these whole numbers exactly, with room for the bounds, up to 2**20.
+    kind = np.float32 if np.abs(x).max(initial=0) * np.abs(q).max(initial=0) * width < 1 << 20 else np.float64
+    at, of = ImpactIndex(x, kind).candidates(q.astype(kind), ids[:, None] == asked, k)
     scores = np.concatenate([np.einsum("ij,ij->i", x[at[i:i + 65536]], q[of[i:i + 65536]]) for i in range(0, len(at), 65536)] or [np.zeros(0)])
     order = np.lexsort((ids[at], -scores, of))
     at, of, scores = at[order], of[order], scores[order]
