@@ -7,7 +7,7 @@ that declare their role (article, nav, footer, ...) are examples; part of the sa
 and neighbours count too.
 
 Cases: null and empty pages give an empty text; unclosed tags, stray brackets and unknown references stay readable; scripts,
-styles, comments and titles are no blocks; pages of any length are labelled whole; repeated rows are labelled
+styles, comments, titles and what stands in vector images, selections and the like are no blocks; pages of any length are labelled whole; repeated rows are labelled
 each; an empty table gives no rows.
 """
 
@@ -31,13 +31,16 @@ CELLS = 60_000
 
 MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|svg|title|textarea|select|iframe|object)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<raw>script|style)(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<plain>title|textarea|iframe)(?=[\s/>])[^>]*>(?:(?!<(?P=plain)[\s/>]).)*?</(?P=plain)\s*>"
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][\w:-]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|</?[a-zA-Z][^>]*>|<[!?][^>]*>", re.S | re.I)
 NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 # Fixed lists: tags that stand in a line of text, and tags without an end.
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
+# Tags whose content is no text; without an end they are tags like any other.
+UNREAD = set("noscript template svg title textarea select iframe object".split())
 # Names that declare what a block is, for the weak labels only.
 CHROME = re.compile(r"^(?:nav|header|footer|aside|form|button|menu|dialog)$|\b(?:ad|ads|advert\w*|banner|sponsor\w*|promo\w*|cookie\w*|consent|notice\w*|"
                     r"alert|popup|modal|newsletter|subscribe|sidebar|menu|nav\w*|breadcrumb\w*|footer|header|masthead|comment\w*|reply|replies|share|"
@@ -45,6 +48,21 @@ CHROME = re.compile(r"^(?:nav|header|footer|aside|form|button|menu|dialog)$|\b(?
 MAIN = re.compile(r"^(?:article|main)$|\b(?:article|content|post|entry|story|body-text|main)\b", re.I)
 
 
+def unread(marks):
+    """{first: last} of the marks that enclose unread content, by their places in the list."""
+    opened, ends = {}, {}
+    for i, m in enumerate(marks):
+        tag = (m["tag"] or "").lower()
+        if tag not in UNREAD:
+            continue
+        if not m["close"]:
+            if not (tag == "svg" and m["rest"].endswith("/")):
+                opened.setdefault(tag, []).append(i)
+        elif opened.get(tag):
+            ends[opened[tag].pop()] = i
+    return ends
+
+
 def blocks(page):
     """[(path, text, share of linked characters)] of a page; a path is a tuple of tag and name strings."""
     found, stack, text, linked = [], [], [], 0
@@ -66,15 +84,22 @@ def blocks(page):
             if any(tag == "a" for tag, _ in stack):
                 linked += len(plain.strip())
 
-    at = 0
-    for m in MARKUP.finditer(page):
+    at, marks, skipped = 0, list(MARKUP.finditer(page)), -1
+    ends = unread(marks)
+    for i, m in enumerate(marks):
+        if i <= skipped:
+            continue
         say(page[at:m.start()])
         at = m.end()
         tag = (m["tag"] or "").lower()
         if not tag:
-            if m["raw"]:
+            if m["raw"] or m["plain"]:
                 flush()
             continue
+        if i in ends:
+            flush()
+            skipped, at = ends[i], marks[ends[i]].end()
+            continue
         if tag == "br":
             text.append(" ")
             continue
