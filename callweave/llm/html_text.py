@@ -272,18 +272,24 @@ class Labeller:
 
 
 def fit(pages, page_html="html"):
-    """A labeller trained on an even draw of about TRAINING_PAGES pages; None for an empty table."""
-    n = pages.count()
-    share = min(1.0, TRAINING_PAGES / max(1, n))
-    drawn = pages.where(F.pmod(F.xxhash64(F.lit("draw"), page_html), F.lit(1_000_000)) < int(share * 1_000_000) + 1).select(page_html)
+    """A labeller trained on about TRAINING_PAGES distinct pages, those of the smallest hashes; None where no page has a block."""
+    texts = pages.where(F.col(page_html).isNotNull()).select(page_html, F.xxhash64(F.lit("draw"), page_html).alias("__draw"))
 
     def examples(batches):
         for batch in batches:
             made = [b for b in map(blocks, batch[page_html]) if b]
             yield pd.DataFrame({"x": [vectors(b).tobytes() for b in made], "y": [weak_labels(b).tobytes() for b in made]})
 
-    # One text may fill the draw (copies share their hash), so the rows that come back are bounded here.
-    held = drawn.distinct().mapInPandas(examples, "x binary, y binary").limit(2 * TRAINING_PAGES).collect()
+    held, size, places = [], TRAINING_PAGES, None
+    # Pages without a block give no example: then the draw goes on to more pages.
+    while not held and (places is None or places == size // 8):
+        draws = texts.select("__draw").distinct().orderBy("__draw").limit(size)
+        last = draws.agg(F.max("__draw").alias("last"), F.count("*").alias("n")).first()
+        places = last["n"]
+        if places:
+            drawn = texts.where(F.col("__draw") <= F.lit(last["last"])).select(page_html).distinct()
+            held = drawn.mapInPandas(examples, "x binary, y binary").limit(2 * TRAINING_PAGES).collect()
+        size *= 8
     if not held:
         return None
     width = PATH_SLOTS + WORD_SLOTS + FIGURES

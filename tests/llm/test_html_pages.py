@@ -1,4 +1,4 @@
-"""Pages with custom elements and unclosed tags."""
+"""Pages with custom elements and unclosed tags, and tables of copies."""
 
 import pytest
 
@@ -22,3 +22,19 @@ def test_enclosed_content_is_not_read():
     for page in ("<svg><svg><text>no</text></svg><text>no</text></svg>", "<select><option>no</select>", "<object><object>no</object>no</object >", "<script>var a;",
                  "<style>p {}", "<!-- no", "<title>no <script> no</title>", "<TEMPLATE><p>no</TEMPLATE>", "<noscript><p>no</noscript>", "<svg><script>'</svg>'</script>no</svg>"):
         assert said(f"<p>yes</p>{page}") == "yes", page
+
+
+def draw(spark, monkeypatch, pages):
+    seen = []
+    monkeypatch.setattr(html_text.Labeller, "fit", lambda self, x, y: seen.append(len(x)) or self)
+    made = html_text.fit(spark.createDataFrame([(p,) for p in pages], "html string"))
+    return made, seen
+
+
+def test_training_pages_are_drawn_from_distinct_texts(spark, monkeypatch):
+    monkeypatch.setattr(html_text, "TRAINING_PAGES", 20)
+    copies = [PAGE % (i, "text") for i in range(30) for _ in range(100)]
+    assert draw(spark, monkeypatch, copies)[1] == [20]
+    assert draw(spark, monkeypatch, copies[:500])[1] == [5]
+    assert draw(spark, monkeypatch, [" " * i for i in range(1, 1000)] + [copies[0]])[1] == [1]
+    assert draw(spark, monkeypatch, [None, "", " "])[0] is None and draw(spark, monkeypatch, [])[0] is None
