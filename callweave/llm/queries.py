@@ -1,6 +1,6 @@
 """The registered queries of this folder, with DuckDB SQL where SQL can say them."""
 
-from . import decontamination, html_text, line_dedup, packing, passages, sharding, simhash, token_counts, topk_search, toxicity
+from . import decontamination, html_text, line_dedup, packing, passages, periodic_runs, sharding, simhash, token_counts, topk_search, toxicity
 from .common import table
 
 QUERIES, ORACLE = {}, {}
@@ -109,3 +109,8 @@ def op8(spark, sf_dir):
 @query("op3_substring_dedup")
 def op3(spark, sf_dir):
     return passages.report(table(spark, sf_dir, "documents"))
+
+
+@query("op13_periodic_runs")
+def op13(spark, sf_dir):
+    return periodic_runs.report(table(spark, sf_dir, "documents"))
