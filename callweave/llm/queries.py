@@ -1,6 +1,7 @@
 """The registered queries of this folder, with DuckDB SQL where SQL can say them."""
 
-from . import decontamination, html_text, line_dedup, packing, passages, periodic_runs, sharding, simhash, token_counts, topk_search, toxicity
+from . import (
+    decontamination, html_text, line_dedup, masked_ranking, mixing, packing, passages, periodic_runs, sharding, simhash, token_counts, topk_search, toxicity)
 from .common import table
 
 QUERIES, ORACLE = {}, {}
@@ -114,3 +115,49 @@ def op3(spark, sf_dir):
 @query("op13_periodic_runs")
 def op13(spark, sf_dir):
     return periodic_runs.report(table(spark, sf_dir, "documents"))
+
+
+OP11 = """
+WITH d AS (SELECT doc_id, row_number() OVER () AS r,
+             regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
+s AS (SELECT count(*) AS n_docs, CAST(sum(len(ws)) AS BIGINT) AS n_terms FROM d WHERE len(ws) > 0),
+i AS (SELECT item_id, row_number() OVER () AS ir,
+             unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS t FROM benchmark),
+q AS (SELECT ir, item_id, t, count(*) AS times FROM i GROUP BY ALL),
+p AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(ws) AS t FROM d) WHERE t IN (SELECT t FROM q) GROUP BY ALL),
+w AS (SELECT t, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT) AS w FROM (SELECT t, count(*) AS df FROM p GROUP BY t), s),
+c AS (SELECT p.r, p.t, w.w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * len(ws) * n_docs) // n_terms))) AS gain
+      FROM p JOIN w USING (t) JOIN d USING (r), s),
+a AS (SELECT ir, item_id, r, CAST(sum(times * gain) AS BIGINT) AS score FROM q JOIN c USING (t) GROUP BY ALL HAVING sum(times * gain) > 0)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY ir ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM a JOIN d USING (r) QUALIFY row_number() OVER (PARTITION BY ir ORDER BY score DESC, doc_id) <= 20
+"""
+
+
+@query("op11_ranked_search", OP11)
+def op11(spark, sf_dir):
+    return masked_ranking.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP12 = """
+WITH r AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
+             md5(coalesce(CAST(doc_id AS VARCHAR), '') || '|' || coalesce(text, '')) AS key FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight FROM r GROUP BY source),
+t AS (SELECT CAST(sum(source_size) AS BIGINT) AS total, CAST(sum(weight) AS BIGINT) AS weights FROM s),
+o AS (SELECT source_size, weight, (total - coalesce(sum(3 * source_size) OVER prior, 0)) / (weights - coalesce(sum(weight) OVER prior, 0)) AS level
+      FROM s, t WINDOW prior AS (ORDER BY 3 * source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+l AS (SELECT level FROM o WHERE 3 * source_size >= weight * level ORDER BY 3 * source_size / weight LIMIT 1),
+g AS (SELECT source, source_size, least(CAST(3 * source_size AS DOUBLE), weight * level) AS target FROM s, l),
+p AS (SELECT r.doc_id, r.size, g.source_size, g.target, CAST(floor(g.target + 0.5) AS BIGINT) AS need,
+        coalesce(CAST(sum(r.size) OVER (PARTITION BY r.source ORDER BY r.key, r.doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS BIGINT), 0) AS start
+      FROM r JOIN g ON r.source IS NOT DISTINCT FROM g.source)
+SELECT doc_id, size, source_size, target,
+       CAST(list_sum(list_transform([0, 1, 2], lambda e: greatest(0, least(size, need - e * source_size - start)))) AS BIGINT) AS taken FROM p
+"""
+
+
+@query("op12_source_mix", OP12)
+def op12(spark, sf_dir):
+    return mixing.report(table(spark, sf_dir, "documents"))
