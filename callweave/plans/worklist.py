@@ -35,7 +35,11 @@ def as_of(calls):
 
 def with_last_live(codings, calls):
     """Codings with their lead's last live call; leads nobody reached have none."""
-    live = last_live(calls)
+    return with_live(codings, last_live(calls))
+
+
+def with_live(codings, live):
+    """The same from a table of last live calls (lead, live_call_id, live_at, attempts_since)."""
     rows = codings.join(live, "lead", "left")
     silent = F.col("stance").isin("none", "recording_unusable")
     return rows.withColumns({"live_date": F.when(~silent, F.to_date("live_at")), "live_call_id": F.when(~silent, F.col("live_call_id")),
@@ -45,8 +49,13 @@ def with_last_live(codings, calls):
 def graded(codings, calls, company="the company", cutoff=None):
     """Every open lead with category, reason and days since its last live conversation. `cutoff` is a one-row frame
     (as_of) when the calls are only a part of the export."""
-    open_leads = outcomes(calls).filter(~F.col("any_yes")).select("lead")
-    rows = with_scalar(with_last_live(codings, calls).join(open_leads, "lead", "left_semi"), as_of(calls) if cutoff is None else cutoff)
+    return graded_from(codings, last_live(calls), outcomes(calls), as_of(calls) if cutoff is None else cutoff, company)
+
+
+def graded_from(codings, live, flags, cutoff, company="the company"):
+    """The same from tables of last live calls and of flags per lead (lead, any_yes)."""
+    open_leads = flags.filter(~F.col("any_yes")).select("lead")
+    rows = with_scalar(with_live(codings, live).join(open_leads, "lead", "left_semi"), cutoff)
     category, reason = categorise(F.col("as_of"), company)
     return rows.withColumns({"category": category, "reason": reason, "days_since": F.date_diff("as_of", "live_date")})
 

@@ -1,4 +1,4 @@
-"""Budget enforcement as a stateful stream: whether a request is accepted depends on the ones accepted before it."""
+"""Budget enforcement as a stateful stream: whether a request is accepted depends on the ones accepted before it in event time."""
 
 import sys
 
@@ -11,7 +11,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # ---- fixed values ----
 CEILING_INR = 15000.0
-OUTPUT = "budget_id string, request_id string, ts timestamp, decision string, committed_inr double"
+OUTPUT = "budget_id string, request_id string, ts timestamp, decision string, committed_inr double, late boolean"
 # ---- end of fixed values ----
 
 
@@ -34,31 +34,64 @@ def decide(committed, held, step, status, inr, cap):
 
 
 class BudgetProcessor(StatefulProcessor):
-    """State per budget id: the committed total and the open reservations. Rows of a micro-batch are taken in event
-    order; the trigger's file limit bounds how many there are."""
+    """State per budget id: the committed total, the open reservations, and the steps that wait for the watermark. Steps are decided in event
+    order once the watermark has passed them, whatever trigger brought them; one that comes after later ones were decided is decided at
+    once and marked late. Only the steps between two watermarks are ever held."""
 
     def __init__(self, cap):
         self.cap = cap
 
     def init(self, handle):
-        self.total = handle.getValueState("total", "inr double")
+        self.handle = handle
+        self.total = handle.getValueState("total", "inr double, decided_us long")
         self.open = handle.getMapState("open", "request_id string", "inr double")
+        self.waiting = handle.getListState("waiting", "at_us long, later int, event_id long, request_id string, status string, inr double")
 
-    def handleInputRows(self, key, rows, timerValues):
-        pdf = pd.concat(list(rows)).sort_values(["ts", "step", "event_id"], ascending=[True, False, True])
-        committed = self.total.get()[0] if self.total.exists() else 0.0
+    def decided(self, key, due, late):
+        """Decisions for steps in the given order."""
+        committed, upto = self.total.get() if self.total.exists() else (0.0, -1)
         out = []
-        for row in pdf.itertuples(index=False):
-            request = (row.request_id,)
-            held = self.open.getValue(request)[0] if self.open.containsKey(request) else None
-            decision, committed, now = decide(committed, held, row.step, row.status, float(row.inr), self.cap)
+        for at_us, later, _, request_id, status, inr in due:
+            request = (request_id,)
+            held = self.open.getValue(request)[0] if later and self.open.containsKey(request) else None
+            decision, committed, now = decide(committed, held, "close" if later else "reserve", status, inr, self.cap)
             if now is not None:
                 self.open.updateValue(request, (now,))
             elif held is not None:
                 self.open.removeKey(request)
-            out.append((key[0], row.request_id, row.ts, decision, committed))
-        self.total.update((committed,))
-        yield pd.DataFrame(out, columns=["budget_id", "request_id", "ts", "decision", "committed_inr"])
+            upto = max(upto, at_us)
+            out.append((key[0], request_id, pd.Timestamp(at_us, unit="us"), decision, committed, late))
+        self.total.update((committed, upto))
+        return pd.DataFrame(out, columns=["budget_id", "request_id", "ts", "decision", "committed_inr", "late"])
+
+    def handleInputRows(self, key, rows, timerValues):
+        upto = self.total.get()[1] if self.total.exists() else -1
+        for pdf in rows:
+            pdf = pdf[pdf["event_id"].notna()].astype({"event_id": "int64"})  # without rows that only move the watermark
+            if not len(pdf):
+                continue
+            steps = pdf[["at_us", "later", "event_id", "request_id", "status", "inr"]].sort_values(["at_us", "later", "event_id"])
+            steps = [tuple(r) for r in steps.astype(object).itertuples(index=False)]
+            late = [s for s in steps if s[0] < upto]
+            waiting = steps[len(late):]
+            if waiting:
+                self.waiting.appendList(waiting)
+                self.handle.registerTimer(waiting[0][0] // 1000)
+            if late:
+                yield self.decided(key, late, True)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        mark = timerValues.getCurrentWatermarkInMs()
+        held = sorted(tuple(r) for r in self.waiting.get()) if self.waiting.exists() else []
+        due = [s for s in held if s[0] // 1000 < mark]
+        if due:
+            rest = held[len(due):]
+            if rest:
+                self.waiting.put(rest)
+                self.handle.registerTimer(rest[0][0] // 1000)
+            else:
+                self.waiting.clear()
+            yield self.decided(key, due, False)
 
     def close(self):
         pass
@@ -73,9 +106,12 @@ def steps(requests, hold="6 hours"):
     return requests.select("budget_id", "request_id", "event_id", F.inline(cells))
 
 
-def enforce(events, cap, ceiling=CEILING_INR):
-    """Decisions per request step. A configured cap may only lower the ceiling."""
+def enforce(events, cap, ceiling=CEILING_INR, delay="1 day"):
+    """Decisions per request step, in event order. A configured cap may only lower the ceiling. `delay` covers the way from a reservation to
+    its close, as both stand in one record."""
     if not 0 < cap < float("inf"):
         raise ValueError("The cap must be finite and positive")
-    return events.groupBy("budget_id").transformWithStateInPandas(
-        statefulProcessor=BudgetProcessor(min(cap, ceiling)), outputStructType=OUTPUT, outputMode="Append", timeMode="None")
+    marked = events.withColumn("at_us", F.unix_micros("ts")).withWatermark("ts", delay)
+    rows = marked.select("budget_id", "request_id", "event_id", "at_us", F.when(F.col("step") == "reserve", 0).otherwise(1).alias("later"), "status", "inr")
+    return rows.groupBy("budget_id").transformWithStateInPandas(
+        statefulProcessor=BudgetProcessor(min(cap, ceiling)), outputStructType=OUTPUT, outputMode="Append", timeMode="EventTime")
