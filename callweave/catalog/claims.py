@@ -154,3 +154,51 @@ def tripwire(t):
     """Kept claims and whether every quote cited at their segment was heard."""
     kept = merged(t).filter("kept").select("call_id", "item_pos", "segment_id", "tier")
     return cl.tripwire(kept, heard(t), ["call_id", "segment_id"])
+
+
+# One extraction file per call, with a break of each kind in some of them.
+FILES = """i as (select *, row_number() over (partition by call_id, collection order by item_pos) - 1 as n, collection || '[' || (row_number() over (partition by call_id, collection order by item_pos) - 1) || ']' as spot
+  from items), k as (select call_id, source_row as k from calls), ok as (select call_id, k from k where k % 29 > 0)"""
+
+
+def extraction_files(t):
+    """(call_id, body): claims and call as one JSON text each."""
+    seg = F.when(F.col("text").endswith(" 3"), -1).otherwise(F.col("segment_id"))
+    quote = F.when(F.col("text").endswith(" 6"), "  ").otherwise("said so")
+    evidence = F.struct(seg.alias("segment_id"), quote.alias("quote"))
+    odd = lambda text, value: F.when(F.col("text") == text, value)
+    of = lambda name, *fields: F.array_sort(F.collect_list(F.when(F.col("collection") == name, F.struct("item_pos", F.struct(*fields, evidence.alias("evidence")).alias("x")))))
+    facts = of("facts", F.col("label").alias("field"), odd("value 1", "").when(F.col("text") == "value 2", F.repeat(F.lit("long "), F.lit(81))).otherwise(F.col("text")).alias("value"))
+    signals = of("signals", odd("said 5", "salary").otherwise(F.col("label")).alias("kind"), F.col("text").alias("description"), odd("said 7", F.lit(0.9)).alias("probability"))
+    objections = of("objections", F.col("label").alias("category"), F.col("text").alias("concern"), "response", odd("concern 9", "settled").otherwise(F.col("resolution")).alias("resolution"))
+    pitches = of("pitches", F.col("text").alias("topic"), F.col("response").alias("prospect_response"))
+    lists = t.items.groupBy("call_id").agg(facts.alias("facts"), signals.alias("signals"), objections.alias("objections"), pitches.alias("pitches"))
+    shown = lambda name: F.transform(name, lambda y: y["x"]).alias(name)
+    k = F.col("source_row")
+    rows = t.calls.join(lists, "call_id", "left")
+    body = F.struct(F.when(k % 23 == 0, "phone").otherwise(F.col("conversation_type")).alias("conversation_type"), F.when(k % 13 > 0, "A call").alias("summary"),
+                    *map(shown, ("facts", "signals", "objections", "pitches")), F.when(k % 17 == 0, F.repeat(F.lit("x"), F.lit(701))).otherwise("Call again").alias("next_action"),
+                    F.when(k % 19 == 0, F.array_repeat(F.lit("unsure"), 11)).otherwise(F.array()).alias("uncertainties"))
+    text = F.to_json(body)
+    return rows.select("call_id", F.when(k % 29 == 0, F.substring(text, 1, 40)).when(k % 31 == 0, F.replace(text, F.lit('"Call again"'), F.lit("7"))).otherwise(text).alias("body"))
+
+
+@query("extraction_violations", f"""with {ctes('calls', 'items')}, {FILES}
+ select call_id, '' as path, 'not JSON' as problem from k where k % 29 = 0
+ union all select call_id, 'conversation_type', 'value not allowed' from ok where k % 23 = 0
+ union all select call_id, 'summary', 'missing' from ok where k % 13 = 0
+ union all select call_id, 'next_action', 'text too long' from ok where k % 17 = 0
+ union all select call_id, 'next_action', 'not a text' from ok where k % 31 = 0 and k % 17 > 0
+ union all select call_id, 'uncertainties', 'too many items' from ok where k % 19 = 0
+ union all select call_id, p, problem from (
+   select call_id, spot || '.evidence.segment_id' as p, 'number too small' as problem from i where text like '% 3'
+   union all select call_id, spot || '.evidence.quote', 'blank text' from i where text like '% 6'
+   union all select call_id, spot || '.value', 'text too short' from i where text = 'value 1'
+   union all select call_id, spot || '.value', 'text too long' from i where text = 'value 2'
+   union all select call_id, spot || '.kind', 'value not allowed' from i where text = 'said 5'
+   union all select call_id, spot || '.probability', 'unknown key' from i where text = 'said 7'
+   union all select call_id, spot || '.resolution', 'value not allowed' from i where text = 'concern 9') where call_id in (select call_id from ok)""")
+def extraction_violations(t):
+    """Every place of the extraction files that breaks the closed schema."""
+    from ..operators import schemas
+    return schemas.extraction_violations(extraction_files(t))

@@ -108,6 +108,73 @@ def evaluate_references(t):
     return rounded(word_error_rate(word_edits(pairs)))
 
 
+# Every turn stands for a call; its words are numbered, so that the best alignment is known: of every thirty, one is dropped, one swapped and one
+# added to by the system under review.
+REVIEWED = """r as (select conv_id, turn, conv_id || '-' || turn as call_id, len(list_filter(string_split(text, ' '), lambda w: w <> '')) as n, turn % 7 = 6 as silent from conversations),
+ held as (select * from r where conv_id % 3 > 0),
+ texts as (select *, case when conv_id % 5 = 0 then 'stale' when k = 2 then 'duplicate' else 'used' end as state, conv_id % 7 > 0 and (silent or n > 0) as scored
+  from (select *, unnest(case when turn % 4 = 1 then [1, 2] else [1] end) as k from r)),
+ seen as (select t.*, (n + 27) // 30 as dropped, (n + 17) // 30 as swapped, (n + 7) // 30 as added from texts t where state = 'used' and scored and conv_id % 3 > 0),
+ fields as (select *, case when conv_id % 4 = 0 then 'stale' else 'used' end as state from (select *, unnest(['goal', 'budget']) as field from r))"""
+
+
+def numbered(n, each):
+    """Words 1 .. n, each given by a function of its number, in one text."""
+    words = F.transform(F.sequence(F.lit(1), n), each)
+    return F.when(n > 0, F.array_join(F.filter(words, lambda w: w != ""), " ")).otherwise("")
+
+
+def turn_texts(t):
+    """What was said in each turn, and what the system under review made of it."""
+    n = F.size(F.filter(F.split("text", " "), lambda w: w != ""))
+    heard = lambda i: F.when(i % 30 == 3, "").when(i % 30 == 13, F.concat(F.lit("z"), i.cast("string"))).when(
+        i % 30 == 23, F.concat(F.lit("w"), i.cast("string"), F.lit(" y"), i.cast("string"))).otherwise(F.concat(F.lit("w"), i.cast("string")))
+    rows = t.segments.select("conv_id", "turn", F.concat(F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string")).alias("call_id"), n.alias("n"))
+    return rows.withColumns({"said": numbered(F.col("n"), lambda i: F.concat(F.lit("w"), i.cast("string"))), "text": numbered(F.col("n"), heard), "silent": F.col("turn") % 7 == 6})
+
+
+def reviewed_turns(t):
+    rows = turn_texts(t)
+    signed = [F.when(F.col("conv_id") % 7 > 0, "Reviewer").otherwise("").alias("reviewer"), F.lit("2026-10-02").alias("reviewed_at")]
+    copies = F.explode(F.when(F.col("turn") % 4 == 1, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("row_no")
+    texts = rows.select("call_id", F.when(F.col("conv_id") % 5 == 0, "old").otherwise("t1").alias("artifact_fingerprint"), F.when(F.col("silent"), "").otherwise(F.col("said")).alias("reference_text"),
+                        F.when(F.col("silent"), "Yes").otherwise("").alias("reviewed_silence"), *signed, copies)
+    verdict = F.when(F.col("turn") % 3 == 0, " Yes").when(F.col("turn") % 3 == 1, "no").otherwise("maybe")
+    fields = rows.select("call_id", F.when(F.col("conv_id") % 4 == 0, "old").otherwise("e1").alias("artifact_fingerprint"), verdict.alias("extraction_correct"), *signed,
+                         F.lit(1).alias("row_no"), F.explode(F.array(F.lit("goal"), F.lit("budget"))).alias("field"))
+    holdout = rows.where(F.col("conv_id") % 3 > 0).select("call_id")
+    return holdout, rows.select("call_id", F.lit("t1").alias("fingerprint"), "text"), rows.select("call_id", F.lit("e1").alias("fingerprint")), texts, fields
+
+
+@query("review_evaluation", f"""with {REVIEWED}, w as (select count(*) as reviewed_calls, count(*) filter (silent) as reviewed_silent_calls, coalesce(sum(n) filter (not silent), 0)::bigint as reference_words,
+   coalesce(sum(swapped) filter (not silent), 0)::bigint as substitutions, coalesce(sum(dropped) filter (not silent), 0)::bigint as deletions,
+   coalesce(sum(case when silent then n - dropped + added else added end), 0)::bigint as insertions from seen),
+ f as (select count(*) filter (held and state = 'used' and conv_id % 7 > 0 and turn % 3 < 2) as reviewed_fields, count(*) filter (held and state = 'used') as available_field_rows,
+   count(*) filter (not (held and state = 'used')) as ignored_fields, count(*) filter (held and state = 'used' and conv_id % 7 > 0 and turn % 3 = 0) as right_fields
+  from (select *, conv_id % 3 > 0 as held from fields))
+ select (select count(*) from held) as expected_holdout_calls, reviewed_calls, reviewed_silent_calls, round((substitutions + deletions + insertions) / reference_words, 6) as wer, reference_words,
+  substitutions, deletions, insertions, reviewed_fields, available_field_rows,
+  ignored_fields + (select count(*) from texts where not (conv_id % 3 > 0 and state = 'used')) as ignored_rows, round(right_fields / reviewed_fields, 6) as field_accuracy from w, f""")
+def review_evaluation(t):
+    """Held-out calls, freshness, silence, word errors and field verdicts in one result."""
+    return rounded(ql.evaluate(*reviewed_turns(t), "row_no"))
+
+
+@query("word_edits_forced", f"""with {REVIEWED} select call_id, (n - (n + 27) // 30 - (n + 17) // 30)::bigint as hits, ((n + 17) // 30)::bigint as substitutions, ((n + 27) // 30)::bigint as deletions,
+ ((n + 7) // 30)::bigint as insertions from r""")
+def word_edits_forced(t):
+    """Edit counts per turn where every word has a number."""
+    return word_edits(turn_texts(t), "said", "text").select("call_id", "hits", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("substitutions", "deletions", "insertions")])
+
+
+@query("transcription_sheet", f"""with {ctes('calls')} select 'lead ' || lead as lead_alias, call_id, 't1' as artifact_fingerprint, 0 as start_seconds, duration_seconds as end_seconds, '' as reference_text,
+ '' as reviewed_silence, '' as reviewer, '' as reviewed_at from calls where source_row % 5 > 0""")
+def transcription_sheet(t):
+    """Every call with a transcript is held out here; a fifth has none."""
+    current = t.calls.where(F.col("source_row") % 5 > 0).select(F.concat(F.lit("lead "), "lead").alias("lead_alias"), "call_id", F.lit("t1").alias("fingerprint"), "duration_seconds")
+    return ql.transcription_sheet(current)
+
+
 # Stored fingerprints: every 10th transcript and every 7th consensus comes from an older method.
 CHAIN = """audio as (select 'C' || o_orderkey as call_id, sha256(o_orderkey::varchar) as sha, o_orderkey as k from orders),
  fp as (select *, sha256('["' || sha || '", "asr-v1"]') as t1, sha256('["' || sha256('["' || sha || '", "asr-v1"]') || '", "resolver-v5"]') as c1 from audio),

@@ -6,7 +6,7 @@ from ..functions import text as tx
 from ..operators import guards
 from ..plans import worklist as wl
 from ..sources.bindings import ctes
-from .base import query
+from .base import ORACLE, query
 from .journeys import LIVE_SQL, OUTCOMES
 
 GRADED = f"""{OUTCOMES}, {LIVE_SQL}, cutoff as (select max(created_on)::date as as_of from calls),
@@ -227,22 +227,84 @@ def coding_name_problems(t):
     return guards.name_problems(wl.client_texts(t.codings), names)
 
 
-@query("coding_stance_problems", f"""with {ctes('calls', 'codings', 'coding_evidence')}, {OUTCOMES}, {LIVE_SQL},
- j as (select c.*, l.live_call_id, l.attempts_since % 2 = 0 as call_matches, exists (select 1 from coding_evidence e where e.lead = c.lead and e.place = 'target_check') as has_target,
+# The coded day of the last live call; every 43rd lead's coder wrote the day after.
+CODED_LIVE = "live_at::date + case when lead::bigint % 43 = 0 then 1 else 0 end"
+STANCE_SQL = f"""j as (select c.*, l.live_call_id, exists (select 1 from calls k where k.call_id = l.live_call_id and k.lead = c.lead and k.created_on::date = {CODED_LIVE.replace('lead::', 'c.lead::')}) as call_matches,
+   exists (select 1 from coding_evidence e where e.lead = c.lead and e.place = 'target_check') as has_target,
    exists (select 1 from coding_evidence e where e.lead = c.lead and e.place = 'status_check') as has_status from codings c left join last_live l on l.lead = c.lead)
  select lead, 'a conditional commitment needs condition, condition_can_be_met and condition_reason' as problem from j
    where stance = 'conditional_commitment' and (condition is null or condition_can_be_met is null or condition_reason is null)
  union all select lead, 'a last live conversation is given for a lead nobody reached' from j where stance in ('none', 'recording_unusable') and live_call_id is not null
  union all select lead, 'a stance other than none needs the last live conversation' from j where stance not in ('none', 'recording_unusable', 'declined') and live_call_id is null
- union all select lead, 'last_live_conversation does not match one of the lead''s calls' from j where live_call_id is not null and not coalesce(call_matches, false)
+ union all select lead, 'last_live_conversation does not match one of the lead''s calls' from j where live_call_id is not null and not call_matches
  union all select lead, 'outside_target needs a reason and evidence' from j where target_value = 'outside_target' and (target_reason is null or not has_target)
- union all select lead, 'a status check needs a reason and evidence' from j where status_needed and (status_reason is null or not has_status)""")
-def coding_stance_problems(t):
+ union all select lead, 'a status check needs a reason and evidence' from j where status_needed and (status_reason is null or not has_status)"""
+
+
+def coded_live(t):
+    """The last live call of each lead with the day its coder wrote."""
     from ..operators.journeys import last_live
+    day = F.date_add(F.to_date("live_at"), F.when(F.col("lead").cast("bigint") % 43 == 0, 1).otherwise(0))
+    return last_live(t.calls).withColumn("coded_day", day.cast("string"))
+
+
+@query("coding_stance_problems", f"with {ctes('calls', 'codings', 'coding_evidence')}, {OUTCOMES}, {LIVE_SQL}, {STANCE_SQL}")
+def coding_stance_problems(t):
     marks = t.coding_evidence.groupBy("lead").agg(F.some(F.col("place") == "target_check").alias("has_target_evidence"),
                                                   F.some(F.col("place") == "status_check").alias("has_status_evidence"))
-    rows = t.codings.join(last_live(t.calls), "lead", "left").join(marks, "lead", "left").na.fill(False, ["has_target_evidence", "has_status_evidence"])
-    return guards.stance_problems(rows.withColumn("call_matches", F.col("attempts_since") % 2 == 0))
+    rows = t.codings.join(coded_live(t), "lead", "left").join(marks, "lead", "left").na.fill(False, ["has_target_evidence", "has_status_evidence"])
+    own = t.calls.select(F.col("call_id").alias("live_call_id"), F.col("lead").alias("of"), F.to_date("created_on").cast("string").alias("on"))
+    rows = rows.join(own, "live_call_id", "left").withColumn("call_matches", (F.col("of") == F.col("lead")) & (F.col("on") == F.col("coded_day")))
+    return guards.stance_problems(rows)
+
+
+# One file per lead: the first evidence of each place and all objections; some files name another lead, break the schema or miss a call.
+FIRST = """first as (select * from coding_evidence where place <> 'objection' qualify row_number() over (partition by lead, place order by evidence_no) = 1
+  union all select * from coding_evidence where place = 'objection')"""
+
+
+def coding_files(t):
+    """(lead, body): the codings as JSON files."""
+    cite = F.struct("call_id", "date", "segment_id", "start_seconds", "quote")
+    cited = t.coding_evidence.withColumn("e", cite)
+    at = lambda place: F.min_by(F.when(F.col("place") == place, F.col("e")), F.when(F.col("place") == place, F.col("evidence_no")))
+    listed = F.array_sort(F.collect_list(F.when(F.col("place") == "objection", F.struct("evidence_no", F.struct("topic", "detail", "status", F.col("e").alias("evidence")).alias("o")))))
+    proof = cited.groupBy("lead").agg(at("status_check").alias("status_e"), at("target_check").alias("target_e"), at("stance").alias("stance_e"), listed.alias("listed"))
+    read = t.calls.where(F.col("source_row") % 50 != 7).groupBy("lead").agg(F.array_sort(F.collect_list("call_id")).alias("calls_read"))
+    rows = t.codings.join(proof, "lead", "left").join(read, "lead", "left").join(coded_live(t), "lead", "left")
+    number, nothing = F.col("lead").cast("bigint"), F.lit(None).cast("struct<call_id: string, date: string, segment_id: bigint, start_seconds: double, quote: string>")
+    item = lambda c: F.struct(F.col(c).alias("display"), nothing.alias("evidence"))
+    live = F.when(F.col("live_call_id").isNotNull(), F.struct(F.col("coded_day").alias("date"), F.col("live_call_id").alias("call_id")))
+    profile = F.struct(item("experience").alias("experience"), item("role").alias("role"), item("ctc").alias("ctc"), item("location").alias("location"))
+    body = F.struct(
+        F.lit("lead-coding-v1").alias("schema"), F.when(number % 31 == 0, F.concat("lead", F.lit("x"))).otherwise(F.col("lead")).alias("lead"), "coder",
+        F.coalesce("calls_read", F.array().cast("array<string>")).alias("calls_read"),
+        F.struct(F.col("status_needed").alias("needed"), F.col("status_reason").alias("reason"), F.col("status_e").alias("evidence")).alias("status_check"), profile.alias("profile"),
+        F.struct(F.when(number % 37 == 0, "me").otherwise("self").alias("value"), nothing.alias("evidence")).alias("learner"),
+        F.struct(F.col("target_value").alias("value"), F.col("target_reason").alias("reason"), F.col("target_e").alias("evidence")).alias("target_check"),
+        F.struct(F.col("stance").alias("value"), "detail", "condition", "condition_can_be_met", "condition_reason", F.col("stance_e").alias("evidence")).alias("stance"),
+        "refused_after_commitment", live.alias("last_live_conversation"), F.coalesce("attempts_since", F.lit(0)).alias("attempts_since_last_live"), "buying_intent",
+        F.lit(None).cast("string").alias("their_next_step"), F.coalesce(F.transform("listed", lambda x: x["o"]), F.array()).alias("objections"),
+        F.struct("strength", "weakness", "opportunity", "threat").alias("swot"), "next_action", F.struct("opener", "question", "ask").alias("what_to_say"))
+    text = F.to_json(body, {"ignoreNullFields": "false"})
+    return rows.select("lead", F.when(number % 41 == 0, F.concat(F.lit('{"age": 30, '), F.substring(text, 2, 1 << 30))).otherwise(text).alias("body"))
+
+
+@query("check_coding", f"""with {ctes('calls', 'codings', 'leads', 'coding_evidence', 'lines')}, {FIRST}, good as (select lead from codings where lead::bigint % 37 > 0 and lead::bigint % 41 > 0),
+ placed as (select *, case when place = 'objection' then 'objections[' || row_number() over (partition by lead, place order by evidence_no) - 1 || ']' else place end as at from first)
+ select lead, 'learner.value' as place, 'schema: value not allowed' as problem from codings where lead::bigint % 37 = 0
+ union all select lead, 'age', 'schema: unknown key' from codings where lead::bigint % 41 = 0
+ union all select lead, 'lead', 'lead differs from the file''s' from good where lead::bigint % 31 = 0
+ union all select distinct lead, 'calls_read', 'calls_read must list all calls of the lead' from calls where source_row % 50 = 7 and lead in (select lead from good)
+ union all select p.lead, p.at, x.problem from ({ORACLE['coding_evidence_problems']}) x join placed p on p.lead = x.lead and p.evidence_no = x.evidence_no where p.lead in (select lead from good)
+ union all select * from ({ORACLE['coding_wording_problems']}) where lead in (select lead from good)
+ union all select * from ({ORACLE['coding_name_problems']}) where lead in (select lead from good)
+ union all select lead, '', problem from ({ORACLE['coding_stance_problems']}) where lead in (select lead from good)""")
+def check_coding(t):
+    """Every rule for coding files at once; the segment word plays the lead's name."""
+    from ..operators import schemas
+    names = guards.tokens(t.leads, ["lead"], F.col("segment"), r"[a-z]{3,}")
+    return schemas.check_coding(coding_files(t), t.calls, t.lines, names)
 
 
 @query("unread_calls", f"""with {ctes('calls', 'coding_evidence')}, j as (select coalesce(c.lead, e.lead) as lead, c.call_id as have, e.call_id as said from calls c

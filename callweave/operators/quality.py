@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import digest
 from ..functions.stats import wilson
+from .align import word_edits, word_error_rate
+from .small import beside
 
 # ---- fixed values ----
 REVIEW_FIELDS = ("reference_text", "reviewed_silence", "reviewer", "reviewed_at", "reference_value", "extraction_correct", "missed_information")
@@ -94,3 +96,32 @@ def audit_sample(items, calls, segments, k=100, seed="claim-audit-v1"):
 def qa_sheet(current, fields=QA_FIELDS):
     """One row to review per held-out call and field. `current` has call_id and fingerprint."""
     return current.select("call_id", F.col("fingerprint").alias("artifact_fingerprint"), F.explode(F.array(*[F.lit(f) for f in fields])).alias("field"))
+
+
+def transcription_sheet(current):
+    """One row to transcribe per held-out call with a transcript, over the whole recording; no system's words are shown. `current` has lead_alias,
+    call_id, fingerprint and duration_seconds."""
+    empty = [F.lit("").alias(c) for c in ("reference_text", "reviewed_silence", "reviewer", "reviewed_at")]
+    return current.select("lead_alias", "call_id", F.col("fingerprint").alias("artifact_fingerprint"), F.lit(0).alias("start_seconds"),
+                          F.col("duration_seconds").alias("end_seconds"), *empty)
+
+
+def evaluate(holdout, transcripts, extractions, text_rows, field_rows, order):
+    """One row: what the signed reviews say about the held-out calls now.
+
+    holdout: call_id. transcripts: call_id, fingerprint, text. extractions: call_id, fingerprint. A review row counts if its call is held out,
+    its artifact is still the current one and it is the first such row of its key; references count if signed, with words or confirmed silence;
+    field verdicts if signed. Rates are null where nothing is reviewed."""
+    current = lambda artifacts: artifacts.join(holdout, "call_id", "left_semi")
+    texts = fresh_reviews(text_rows, current(transcripts).select("call_id", "fingerprint"), ["call_id"], order)
+    fields = fresh_reviews(field_rows, current(extractions).select("call_id", "fingerprint"), ["call_id", "field"], order)
+    scored = scorable_references(texts).select("call_id", "reference", "silent").join(transcripts.select("call_id", F.coalesce("text", F.lit("")).alias("hypothesis")), "call_id")
+    edits = word_edits(scored)
+    words = word_error_rate(edits).select("wer", "reference_words", "substitutions", "deletions", "insertions")
+    counts = edits.agg(F.count(F.lit(1)).alias("reviewed_calls"), F.count_if("silent").alias("reviewed_silent_calls"))
+    ignored = texts.agg(F.count_if(F.col("state") != "used").alias("__texts"))
+    parts = [holdout.agg(F.countDistinct("call_id").alias("expected_holdout_calls")), counts, words, field_accuracy(fields), ignored]
+    one = parts[0]
+    for part in parts[1:]:
+        one = beside(one, part)
+    return one.withColumn("ignored_rows", F.col("ignored_rows") + F.col("__texts")).drop("__texts")
