@@ -214,7 +214,8 @@ def ranked(docs, items, doc_id="doc_id", text="text", item_id="item_id", item_te
     """(item_id, rank, doc_id, score): the k best documents of every row of items."""
     wanted = stored(item_terms(items, item_id, item_text), "item-terms")
     blocks = stored(index(docs, doc_id, text, term_filter(wanted)), "term-index")
-    about = blocks.where("term is null").agg(F.count("*").alias("blocks"), F.sum("n").alias("docs"), F.sum("total").alias("terms")).first()
+    about = blocks.where("term is null").agg(F.count("*").alias("blocks"), F.sum("n").alias("docs"), F.sum("total").alias("terms"),
+                                                F.max(F.shiftright("block", 32)).alias("last")).first()
     id_type = docs.schema[doc_id].dataType.simpleString()
     out = f"item long, doc_id {id_type}, score long"
     n_docs, n_terms = about["docs"] or 0, about["terms"] or 0
@@ -224,7 +225,9 @@ def ranked(docs, items, doc_id="doc_id", text="text", item_id="item_id", item_te
                 .groupBy("item", "item_id").agg(F.collect_list(F.struct("term", (F.col("times") * weight).alias("weight"))).alias("terms")))
     weighted = stored(weighted, "weighted-items")
     groups = max(1, min(about["blocks"], max(tasks(docs.sparkSession), about["blocks"] // BLOCKS_IN_GROUP)))
-    left = blocks.withColumn("g", F.pmod(F.xxhash64("block"), F.lit(groups)).cast("int"))
+    # The n-th blocks of all parts follow one another, so the groups get even numbers of blocks.
+    place = F.shiftright("block", 32) + F.col("block").bitwiseAND((1 << 32) - 1) * ((about["last"] or 0) + 1)
+    left = blocks.withColumn("g", F.pmod(place, F.lit(groups)).cast("int"))
     right = weighted.select("item", "terms").withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
 
     def search(held: pa.Table, asked: pa.Table) -> pa.Table:
