@@ -351,3 +351,49 @@ def secret_scan(t):
         when 3 then '/.env.example' else '.txt' end""").alias("path"), F.col("text").alias("content"))
     pages = t.raw("pages").select(F.expr("case page_id % 7 when 0 then 'data/' else 'site/' end || page_id || '.html'").alias("path"), F.col("html").alias("content"))
     return guards.secret_scan(docs.unionByName(pages), "recordings.example.com")
+
+
+def publication(t):
+    """One publication of the given tables into a new folder: problems of codings are passed over here, as the tables plant them on purpose."""
+    from ..operators.journeys import buyer_timing
+    from ..operators.quality import validation_status
+    from ..plans import patterns as pt, publication as pb
+    from ..session import work_folder
+    folder = work_folder(t.spark, "publication")
+    holdout = t.leads.where(F.col("lead").cast("bigint") % 5 == 0).select("lead")
+    record = pb.freeze(t.spark, folder, t.calls.agg(F.to_date(F.max("created_on")).cast("string")).first()[0], t.leads.select("lead"), holdout.limit(0), "1990-01-01T00:00:00")
+    claims = wl.review_claims(graded(t), t.coding_evidence)
+    actions = t.extractions.select("call_id", "next_action")
+    objections = t.items.where("collection = 'objections'")
+    tables = pb.tables_of(t.codings, t.calls, t.coding_evidence, summaries(t), prior_signatures(claims), validation_status(t.reviews), objections, actions, holdout,
+                          t.leads.where(F.col("lead").cast("bigint") % 2 == 0).select("lead"), record, pt.past_lead_evidence(t.calls, t.items, t.profiles, t.profile_refs), buyer_timing(t.calls))
+    coded = t.calls.groupBy("lead").agg(F.min("created_on").cast("string").alias("coded_at"))
+    pb.publish(t.spark, tables, folder, record, {"Held-out leads coded before the freeze": pb.early_coded(coded, holdout, record)}, "1999-01-01T00:00:00")
+    return folder
+
+
+@query("publication_internal", f"""with {ctes('calls', 'codings')}, {GRADED} select lead, category, reason, coder, lead::bigint % 5 = 0 as holdout, case when lead::bigint % 2 = 0 then 'pilot' else 'non-buyer sample' end as source,
+ sha256('["' || detail || '", "' || lead || '", "' || next_action || '", "' || stance || '"]') as coding_hash from graded""")
+def publication_internal(t):
+    """The internal record of the committed publication."""
+    from ..plans import publication as pb
+    return pb.published(t.spark, publication(t), "internal")
+
+
+@query("publication_manifest", f"""with {ctes('calls', 'codings', 'coding_evidence')}, {GRADED} select name, rows from (
+ select 'internal' as name, count(*) as rows from graded union all select 'calls', count(*) from calls union all select 'meta', 1 union all select 'timing', 1
+ union all select 'categories', {len(wl.CATEGORIES)})""")
+def publication_manifest(t):
+    """Tables and rows the manifest names, as counted while they were written."""
+    from ..plans import publication as pb
+    return pb.manifest(t.spark, publication(t)).where(F.col("name").isin("internal", "calls", "meta", "timing", "categories")).select("name", "rows")
+
+
+@query("client_call_rows", f"""with {ctes('calls', 'items', 'extractions')}, {CALL_ROWS}, o as (select call_id, string_agg(upper(left(replace(label, '_', ' '), 1)) || lower(substr(replace(label, '_', ' '), 2)) || ' (' ||
+   case resolution when 'partly_addressed' then 'partly addressed' when 'unresolved' then 'not resolved' else resolution end || '): ' || text, chr(10) order by item_pos) as objections
+  from items where collection = 'objections' group by 1)
+ select s.*, coalesce(objections, 'None') as objections, coalesce(x.next_action, '') as next_step from shown s left join o on o.call_id = s.call_id left join extractions x on x.call_id = s.call_id""")
+def client_call_rows(t):
+    """Call rows with objections, how they ended, and the next step."""
+    from ..plans import publication as pb
+    return pb.call_rows(t.calls, summaries(t), t.items.where("collection = 'objections'"), t.extractions.select("call_id", "next_action"))
