@@ -58,24 +58,34 @@ def held_out(doc_id):
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % FOLDS == 0
 
 
-def drawn(column, share):
-    """Whether a row belongs to an even draw of this share."""
-    return F.pmod(F.xxhash64(F.lit("draw"), column), F.lit(1_000_000)) < int(share * 1_000_000)
+def below(hash_column, share):
+    """Whether a 64-bit hash lies in the lowest share of its range, at the hash's full width."""
+    return hash_column < F.lit(int(share * 2**64) - 2**63) if share < 1 else F.lit(True)
+
+
+def smallest(rows, k, distinct):
+    """(text) of the k rows of smallest draw among rows of (id, text), repeated rows once. `distinct` is about how many different ones there are: hashes
+    far above those of the k smallest are passed over before anything is sorted or moved."""
+    draw = F.xxhash64(F.lit("draw"), "id", "text")
+    near = rows.select("text", draw.alias("draw"), F.xxhash64(F.lit("second"), "id", "text").alias("key")).where(below(F.col("draw"), (2 * k + 100) / max(1, distinct)))
+    return near.groupBy("draw", "key").agg(F.first("text").alias("text")).orderBy("draw", "key").limit(k).select("text")
 
 
 def sample(docs, labels, doc_id, text):
-    """(text, positive) rows of the bounded training sample, and the prior."""
+    """(text, positive) rows of the training sample, at most POSITIVES and UNLABELLED of them, and the prior."""
     known = labels.where(~held_out("doc_id") & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     n, toxic = known.agg(F.count(F.lit(1)), F.sum((F.col("toxic") == 1).cast("int"))).first()
     if not toxic:
         return None, 0.0
-    chosen = known.where((F.col("toxic") == 1) & drawn("doc_id", min(1.0, POSITIVES / toxic))).select(F.col("doc_id").alias(doc_id), F.lit(True).alias("positive"))
-    fold = docs.where(~held_out(doc_id))
-    size = fold.count()
-    some = fold.where(drawn(doc_id, min(1.0, UNLABELLED / max(1, size)))).select(text, F.lit(False).alias("positive"))
-    # The chosen ids are at most about POSITIVES rows, so this side may be broadcast.
-    confirmed = fold.select(doc_id, text).join(F.broadcast(chosen), doc_id).select(text, "positive")
-    return stored(some.unionByName(confirmed), "toxicity-sample"), toxic / n
+    # Ids are drawn first, some more than needed, so this side of the join is small and bounded; what they hold is bounded by `smallest`.
+    chosen = known.where((F.col("toxic") == 1) & below(F.xxhash64(F.lit("id"), "doc_id"), (2 * POSITIVES + 100) / toxic)).select("doc_id")
+    fold = docs.where(~held_out(doc_id)).select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    size = fold.agg(F.approx_count_distinct(F.xxhash64("id", "text"))).first()[0]
+    confirmed = stored(fold.join(F.broadcast(chosen), fold["id"] == chosen["doc_id"]).select("id", "text").groupBy("id", F.xxhash64("text").alias("h"), F.xxhash64(F.lit("second"), "text").alias("h2"))
+                       .agg(F.first("text").alias("text")), "toxicity-confirmed")
+    some = smallest(fold, UNLABELLED, size).withColumn("positive", F.lit(False))
+    positive = smallest(confirmed, POSITIVES, confirmed.count()).withColumn("positive", F.lit(True))
+    return stored(some.unionByName(positive).withColumnRenamed("text", text), "toxicity-sample"), toxic / n
 
 
 def choose(rows, text, limit=FEATURES):
@@ -114,6 +124,18 @@ def design(rows, text, names):
     return x, np.array([r["positive"] for r in held], bool)
 
 
+def pu_risk(p, u, w, b, prior):
+    """(risk, its negative part, gradients of the positive and of the negative part) of a linear classifier over rows of positives and of
+    unlabelled: the loss of calling a positive negative is 1 - s, of calling a negative positive s; the negatives' share of the unlabelled is
+    what is left when the positives' is taken off."""
+    s_p, s_u = sigmoid(p @ w + b), sigmoid(u @ w + b)
+    d_p, d_u = s_p * (1 - s_p) / len(p), s_u * (1 - s_u) / len(u)
+    negative = s_u.mean() - prior * s_p.mean()
+    grad_negative = np.append(u.T @ d_u - prior * (p.T @ d_p), d_u.sum() - prior * d_p.sum())
+    grad_positive = -prior * np.append(p.T @ d_p, d_p.sum())
+    return prior * (1 - s_p.mean()) + max(0.0, negative), negative, grad_positive, grad_negative
+
+
 def nonnegative_pu(x_p, x_u, prior, seed):
     """Weights and bias of a linear classifier under the non-negative PU risk with the sigmoid loss (Adam steps; where the
     estimated negative risk falls below zero, the step raises it again)."""
@@ -124,12 +146,7 @@ def nonnegative_pu(x_p, x_u, prior, seed):
     for _ in range(EPOCHS):
         for part in np.array_split(rng.permutation(len(x_u)), share):
             p, u = x_p[rng.integers(0, len(x_p), min(BATCH, len(x_p)))], x_u[part]
-            s_p, s_u = sigmoid(p @ w + b), sigmoid(u @ w + b)
-            # Loss of calling a positive negative is 1 - s, of calling a negative positive s; both have slope s (1 - s).
-            d_p, d_u = s_p * (1 - s_p) / len(p), s_u * (1 - s_u) / len(u)
-            negative = s_u.mean() - prior * s_p.mean()
-            grad_negative = np.append(u.T @ d_u - prior * (p.T @ d_p), d_u.sum() - prior * d_p.sum())
-            grad_positive = -prior * np.append(p.T @ d_p, d_p.sum())
+            _, negative, grad_positive, grad_negative = pu_risk(p, u, w, b, prior)
             g = grad_positive + grad_negative if negative >= 0 else -grad_negative
             g += DECAY * np.append(w, 0) / len(w)
             t += 1
