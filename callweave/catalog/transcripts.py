@@ -70,6 +70,33 @@ def consensus_build(t):
     return built(t).select("call_id", "position", "text", "source", "unclear", "merged", "speaker", "role", "dropped")
 
 
+def timed_votes(t):
+    """Votes with times: a segment lasts until 7 seconds after its start."""
+    return cs.place(voted(t).withColumns({"start": F.col("start_at") * 1.5, "end": F.col("start_at") * 1.5 + 7}))
+
+
+@query("span_frames", f"""with {ctes('votes')}, {VOTED} select call_id, span_id, 1::bigint as part, (arg_min(start_at, position) * 1.5)::double as start, (arg_max(start_at, position) * 1.5 + 7)::double as "end",
+ string_agg(segment_pos, ',' order by position) as merged_ids from spanned group by 1, 2""")
+def span_frames(t):
+    """When each disputed span starts and ends, and its segments."""
+    rows = cs.span_frames(spans(t, timed_votes(t)))
+    return rows.select("call_id", "span_id", "part", F.col("start").cast("double").alias("start"), F.col("end").cast("double").alias("end"), F.array_join("merged_ids", ",").alias("merged_ids"))
+
+
+@query("consensus_frames", f"""with {ctes('votes')}, {VOTED}, {DECIDED}, fr as (select call_id, min(position) as position, (arg_min(start_at, position) * 1.5)::double as start, (arg_max(start_at, position) * 1.5 + 7)::double as "end",
+   string_agg(segment_pos, ',' order by position) as merged_ids from spanned group by call_id, span_id)
+ select b.call_id, b.position, b.text, b.source, coalesce(fr.start, (p.start_at * 1.5)::double) as start, coalesce(fr."end", (p.start_at * 1.5 + 7)::double) as "end", coalesce(fr.merged_ids, p.segment_pos) as merged_ids
+ from built b join placed p on p.call_id = b.call_id and p.position = b.position left join fr on b.source like 'resolved_%' and fr.call_id = b.call_id and fr.position = b.position""")
+def consensus_frames(t):
+    """The consensus with times and merged segments."""
+    roles = t.votes.filter(F.col("speaker").isin("spk:0", "spk:1")).select("call_id", "speaker").distinct().withColumn(
+        "role", F.when(F.col("speaker") == "spk:0", "agent").otherwise("prospect"))
+    placed = timed_votes(t)
+    spanned = spans(t, placed)
+    rows = cs.framed(cs.build(placed, spanned, decisions(spanned), roles), placed, spanned)
+    return rows.select("call_id", "position", "text", "source", F.col("start").cast("double").alias("start"), F.col("end").cast("double").alias("end"), F.array_join("merged_ids", ",").alias("merged_ids"))
+
+
 @query("decision_counts", f"with {ctes('votes')}, {VOTED}, {DECIDED} select source, count(*) as segments from built where coalesce(text, '') <> '' group by 1")
 def decision_counts(t):
     return built(t).filter(~F.col("dropped")).groupBy("source").agg(F.count(F.lit(1)).alias("segments"))

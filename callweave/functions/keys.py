@@ -7,10 +7,27 @@ from pyspark.sql import functions as F
 LANES = 5  # a 64-digit sha256 gives five 12-digit (48-bit) lanes
 
 
+def _unit(code):
+    return F.concat(F.lit("\\u"), code)
+
+
 def json_text(value):
-    """A JSON string literal, for keys in ASCII."""
-    escaped = F.replace(F.replace(value.cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
-    return F.concat(F.lit('"'), escaped, F.lit('"'))
+    """A JSON string literal in ASCII: quotes and backslashes escaped, control and other characters as \\uXXXX by UTF-16 code unit (two for those beyond
+    the basic plane), but for the five short forms. Plain ASCII takes the short way."""
+    text = value.cast("string")
+    escaped = F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
+    short = {"\n": "\\n", "\r": "\\r", "\t": "\\t", "\b": "\\b", "\f": "\\f"}
+
+    def one(char):
+        code = F.lower(F.hex(F.encode(char, "UTF-16BE")))
+        units = F.concat(_unit(F.left(code, F.lit(4))), F.when(F.length(code) > 4, _unit(F.substring(code, 5, 4))).otherwise(F.lit("")))
+        rule = F.when(char.rlike(r"\A[\x20-\x7E]\z"), char)
+        for raw, form in short.items():
+            rule = rule.when(char == raw, F.lit(form))
+        return rule.otherwise(units)
+
+    every = F.array_join(F.transform(F.regexp_extract_all(escaped, F.lit(r"(?s)."), F.lit(0)), one), "")
+    return F.concat(F.lit('"'), F.when(escaped.rlike(r"[^\x20-\x7E]"), every).otherwise(escaped), F.lit('"'))
 
 
 def json_list(*values):

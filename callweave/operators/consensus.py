@@ -64,6 +64,24 @@ def disputed_spans(segments, per_span=2000):
                                                          F.count(F.lit(1)).alias("segments"), *joined)
 
 
+def span_frames(segments, key="segment_pos", per_span=2000):
+    """One row per span and part: from when to when it lasts and which segments it merges, in order. `segments` has start and end."""
+    first = segments.groupBy("call_id", "span_id").agg(F.min("position").alias("first"))
+    rows = segments.join(first, ["call_id", "span_id"]).withColumn("part", F.floor((F.col("position") - F.col("first")) / per_span) + 1)
+    ids = F.transform(F.array_sort(F.collect_list(F.struct("position", F.col(key).alias("id")))), lambda x: x["id"])
+    return rows.groupBy("call_id", "span_id", "part").agg(F.min("position").alias("first_position"), F.min_by("start", "position").alias("start"),
+                                                         F.max_by("end", "position").alias("end"), ids.alias("merged_ids"))
+
+
+def framed(built, placed, spans, key="segment_pos"):
+    """Consensus rows with start, end and the segments each stands for: one of its own for an agreed row, those of its span for a decided one (a
+    decision of several parts has each part's own)."""
+    own = placed.select("call_id", "position", "start", "end", F.array(F.col(key)).alias("merged_ids"), F.lit(0).alias("__kind"))
+    joint = span_frames(spans, key).select("call_id", F.col("first_position").alias("position"), "start", "end", "merged_ids", F.lit(1).alias("__kind"))
+    kind = F.when(F.col("source").startswith("resolved_"), 1).otherwise(0)
+    return built.withColumn("__kind", kind).join(own.unionByName(joint), ["call_id", "position", "__kind"]).drop("__kind")
+
+
 def candidate_order(call_id, span_id):
     """The three systems behind letters A, B and C, shuffled by digest per span."""
     tagged = F.array(*[F.struct(digest(call_id, ("number", span_id), s, "order").alias("h"), F.lit(s).alias("s")) for s in SYSTEMS])

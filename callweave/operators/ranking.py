@@ -73,11 +73,21 @@ def neighbour(df, keys, position, columns, offset, prefix):
 
 
 def islands(df, keys, position, flagged, bucket, out):
-    """Number the runs of consecutive flagged rows of each key from 0; rows outside a run are dropped."""
-    rows = df.filter(flagged)
-    ranked = positions(rows, keys, [position], bucket, "__rank")
-    marked = ranked.withColumn("__anchor", F.col(position) - F.col("__rank"))
-    runs = marked.groupBy(*keys, "__anchor").agg(F.min(position).alias("__first"))
-    numbered = positions(runs, keys, ["__anchor"], F.floor(F.col("__anchor") / 1024), out)
-    numbered = numbered.withColumn(out, F.col(out) - 1).drop("__first")
-    return join_back(marked, numbered, [*keys, "__anchor"]).drop("__anchor", "__rank")
+    """Number the runs of consecutive flagged rows of each key from 0; rows outside a run are dropped. One sort by (key, bucket): a run that goes on
+    across a bucket's border is seen from the buckets' ends, one small row each."""
+    keys = list(keys)
+    marked = df.withColumns({"__bucket": bucket, "__flag": F.coalesce(flagged, F.lit(False))})
+    here = Window.partitionBy(*keys, "__bucket").orderBy(position)
+    goes_on = F.coalesce(F.lag("__flag").over(here) & (F.lag(position).over(here) == F.col(position) - 1), F.lit(False))
+    marked = marked.withColumn("__opens", (F.col("__flag") & ~goes_on).cast("bigint"))
+    marked = marked.withColumn("__run", F.sum("__opens").over(here.rowsBetween(Window.unboundedPreceding, 0)))
+    ends = marked.groupBy(*keys, "__bucket").agg(
+        F.sum("__opens").alias("__opened"), F.min_by("__flag", position).alias("__first"), F.min(position).alias("__from"),
+        F.max_by("__flag", position).alias("__last"), F.max(position).alias("__to"))
+    along = Window.partitionBy(*keys).orderBy("__bucket")
+    border = F.coalesce(F.col("__first") & F.lag("__last").over(along) & (F.lag("__to").over(along) == F.col("__from") - 1), F.lit(False)).cast("bigint")
+    ends = ends.withColumn("__border", border).withColumn("__new", F.col("__opened") - F.col("__border"))
+    base = F.coalesce(F.sum("__new").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ends = ends.select(*keys, "__bucket", (base - F.col("__border") - 1).alias("__base"))
+    numbered = join_back(marked.filter("__flag"), ends, [*keys, "__bucket"])
+    return numbered.withColumn(out, F.col("__base") + F.col("__run")).drop("__bucket", "__flag", "__opens", "__run", "__base")
