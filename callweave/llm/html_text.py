@@ -14,6 +14,7 @@ each; an empty table gives no rows.
 import html
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -29,12 +30,11 @@ EPOCHS, BATCH_PAGES, RATE = 12, 24, 0.01
 # Cells (pages times longest page) that are labelled together.
 CELLS = 60_000
 
-MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style)(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<plain>title|textarea|iframe)(?=[\s/>])[^>]*>(?:(?!<(?P=plain)[\s/>]).)*?</(?P=plain)\s*>"
-    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][\w:-]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|</?[a-zA-Z][^>]*>|<[!?][^>]*>", re.S | re.I)
+START = re.compile(r"<(?:(!--)|([!?])|(/?)([a-zA-Z][\w:-]*))")
+STOP = re.compile(r"[>\"']")
+# Tags whose content is skipped up to their end, or else to the page's (first two) or not at all.
+RAW, PLAIN = ("script", "style"), ("title", "textarea", "iframe")
+ENDS = {t: re.compile(rf"</{t}\s*>", re.I) for t in RAW} | {t: re.compile(rf"<{t}[\s/>]|</{t}\s*>", re.I) for t in PLAIN}
 NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 # Fixed lists: tags that stand in a line of text, and tags without an end.
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
@@ -48,31 +48,109 @@ CHROME = re.compile(r"^(?:nav|header|footer|aside|form|button|menu|dialog)$|\b(?
 MAIN = re.compile(r"^(?:article|main)$|\b(?:article|content|post|entry|story|body-text|main)\b", re.I)
 
 
-def unread(marks):
+def tag_end(page, at, dead):
+    """The place after the `>` that ends a tag, from a place outside its quotes; -1 where quotes hide every end. `dead` remembers the quotes from
+    which no end was reached, so a broken page is read over once and not once per bracket."""
+    seen = []
+    while True:
+        stop = STOP.search(page, at)
+        if stop and stop[0] == ">":
+            return stop.end()
+        close = page.find(stop[0], stop.end()) if stop and stop.start() not in dead else -1
+        if stop:
+            seen.append(stop.start())
+        if close < 0:
+            dead.update(seen)
+            return -1
+        at = close + 1
+
+
+def marks(page):
+    """(start, end, kind, close, tag, rest) of the markup of a page: kind is "tag", "skip" for an element whose content is no text, or "" for comments,
+    declarations and tags with broken quotes. A bracket that opens nothing is text."""
+    found, dead, last, at = [], set(), page.rfind(">"), 0
+    while (at := page.find("<", at)) >= 0:
+        if at > last:  # only a comment may still begin
+            at = page.find("<!--", at)
+            if at >= 0:
+                found.append((at, len(page), "", "", "", ""))
+            break
+        m = START.match(page, at)
+        if not m:
+            at += 1
+            continue
+        end, kind, close, tag, rest = -1, "", "", "", ""
+        name = (m[4] or "").lower()
+        if m[1]:
+            stop = page.find("-->", m.end())
+            end = stop + 3 if stop >= 0 else len(page)
+        elif name in ENDS and not m[3] and page[m.end():m.end() + 1] in (" ", "\t", "\n", "\r", "\f", "\v", "/", ">"):
+            stop = ENDS[name].search(page, page.find(">", at) + 1)
+            if name in RAW:
+                end, kind = stop.end() if stop else len(page), "skip"
+            elif stop and page[stop.start() + 1] == "/":
+                end, kind = stop.end(), "skip"
+        if end < 0 and name:
+            end = tag_end(page, m.end(), dead)
+            if end >= 0:
+                kind, close, tag, rest = "tag", m[3], name, page[m.end():end - 1]
+        if end < 0:
+            end = page.find(">", at) + 1
+        found.append((at, end, kind, close, tag, rest))
+        at = end
+    return found
+
+
+def unread(found):
     """{first: last} of the marks that enclose unread content, by their places in the list."""
     opened, ends = {}, {}
-    for i, m in enumerate(marks):
-        tag = (m["tag"] or "").lower()
+    for i, (_, _, _, close, tag, rest) in enumerate(found):
         if tag not in UNREAD:
             continue
-        if not m["close"]:
-            if not (tag == "svg" and m["rest"].endswith("/")):
+        if not close:
+            if not (tag == "svg" and rest.endswith("/")):
                 opened.setdefault(tag, []).append(i)
         elif opened.get(tag):
             ends[opened[tag].pop()] = i
     return ends
 
 
+class Path:
+    """An open element: its tag, its names, and the element it stands in. What follows from all names above a block is worked out once per element."""
+
+    __slots__ = ("parent", "tag", "names", "known")
+
+    def __init__(self, parent, tag, names):
+        self.parent, self.tag, self.names, self.known = parent, tag, names, None
+
+    def facts(self):
+        """(slots of all names, whether any declares chrome, whether any declares main text)."""
+        chain, node = [], self
+        while node is not None and node.known is None:
+            chain.append(node)
+            node = node.parent
+        for element in reversed(chain):
+            slots, chrome, main = element.parent.known if element.parent else (np.zeros(PATH_SLOTS, np.float32), False, False)
+            slots = slots.copy()
+            slots[[slot(name, PATH_SLOTS) for name in element.names]] = 1
+            bare = [n.lstrip(".") for n in element.names]
+            element.known = slots, chrome or any(map(CHROME.search, bare)), main or any(map(MAIN.search, bare))
+        return self.known
+
+
+NOWHERE = Path(None, "", [])
+
+
 def blocks(page):
-    """[(path, text, share of linked characters)] of a page; a path is a tuple of tag and name strings."""
-    found, stack, text, linked = [], [], [], 0
+    """[(path, text, share of linked characters)] of a page; a path is the innermost open element."""
+    found, top, text, linked, open_ = [], NOWHERE, [], 0, Counter()
     page = page or ""
 
     def flush():
         nonlocal linked
         joined = " ".join("".join(text).split())
         if joined:
-            found.append((tuple(x for _, names in stack for x in names), joined, linked / len(joined)))
+            found.append((top, joined, linked / len(joined)))
         text.clear()
         linked = 0
 
@@ -81,43 +159,49 @@ def blocks(page):
         if raw:
             plain = html.unescape(raw) if "&" in raw else raw
             text.append(plain)
-            if any(tag == "a" for tag, _ in stack):
+            if open_["a"]:
                 linked += len(plain.strip())
 
-    at, marks, skipped = 0, list(MARKUP.finditer(page)), -1
-    ends = unread(marks)
-    for i, m in enumerate(marks):
+    def leave():
+        nonlocal top
+        open_[top.tag] -= 1
+        top = top.parent
+
+    at, listed, skipped = 0, marks(page), -1
+    ends = unread(listed)
+    for i, (start, end, kind, close, tag, rest) in enumerate(listed):
         if i <= skipped:
             continue
-        say(page[at:m.start()])
-        at = m.end()
-        tag = (m["tag"] or "").lower()
+        say(page[at:start])
+        at = end
         if not tag:
-            if m["raw"] or m["plain"]:
+            if kind == "skip":
                 flush()
             continue
         if i in ends:
             flush()
-            skipped, at = ends[i], marks[ends[i]].end()
+            skipped, at = ends[i], listed[ends[i]][1]
             continue
         if tag == "br":
             text.append(" ")
             continue
         if tag not in INLINE:
             flush()
-        if m["close"]:
-            if any(t == tag for t, _ in stack):
-                while stack.pop()[0] != tag:
-                    pass
+        if close:
+            if open_[tag]:
+                while top.tag != tag:
+                    leave()
+                leave()
         else:
             if tag not in INLINE:  # a block ends an open paragraph and what stands in its line
-                while stack and (stack[-1][0] in INLINE or stack[-1][0] == "p"):
-                    stack.pop()
-            if tag not in VOID and not m["rest"].endswith("/"):
+                while top.tag in INLINE or top.tag == "p":
+                    leave()
+            if tag not in VOID and not rest.endswith("/"):
                 names = [tag]
-                for a, b, c in NAMES.findall(m["rest"]):
+                for a, b, c in NAMES.findall(rest):
                     names += ["." + n for n in re.split(r"[\s_-]+", (a or b or c).lower()) if n]
-                stack.append((tag, names))
+                top = Path(top, tag, names)
+                open_[tag] += 1
     say(page[at:])
     flush()
     return found
@@ -131,8 +215,7 @@ def vectors(page_blocks):
     """One row of features per block."""
     x = np.zeros((len(page_blocks), PATH_SLOTS + WORD_SLOTS + FIGURES), np.float32)
     for i, (path, text, linked) in enumerate(page_blocks):
-        for name in path:
-            x[i, slot(name, PATH_SLOTS)] = 1
+        x[i, :PATH_SLOTS] = path.facts()[0]
         words = text.lower().split()
         x[i, PATH_SLOTS:PATH_SLOTS + WORD_SLOTS] = np.bincount([slot(w, WORD_SLOTS) for w in words], minlength=WORD_SLOTS)
         w = x[i, PATH_SLOTS:PATH_SLOTS + WORD_SLOTS]
@@ -144,8 +227,8 @@ def vectors(page_blocks):
 
 def weak_labels(page_blocks):
     """1 for main text, 0 for the rest, by declared roles; without any, long blocks with few links are main text."""
-    chrome = [any(CHROME.search(n.lstrip(".")) for n in path) for path, _, _ in page_blocks]
-    main = [any(MAIN.search(n.lstrip(".")) for n in path) for path, _, _ in page_blocks]
+    chrome = [path.facts()[1] for path, _, _ in page_blocks]
+    main = [path.facts()[2] for path, _, _ in page_blocks]
     if not any(m and not c for m, c in zip(main, chrome)):
         main = [len(t.split()) >= 10 and linked < 0.5 for _, t, linked in page_blocks]
     return np.array([m and not c for m, c in zip(main, chrome)], np.float32)

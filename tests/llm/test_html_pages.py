@@ -1,5 +1,7 @@
 """Pages with custom elements and unclosed tags, and tables of copies."""
 
+import time
+
 import pytest
 
 from callweave.llm import html_text
@@ -38,3 +40,12 @@ def test_training_pages_are_drawn_from_distinct_texts(spark, monkeypatch):
     assert draw(spark, monkeypatch, copies[:500])[1] == [5]
     assert draw(spark, monkeypatch, [" " * i for i in range(1, 1000)] + [copies[0]])[1] == [1]
     assert draw(spark, monkeypatch, [None, "", " "])[0] is None and draw(spark, monkeypatch, [])[0] is None
+
+
+@pytest.mark.parametrize("page, n", [("<b" * 2_000_000, 1), ('<b ">"' * 700_000, 1), ("<div>x" * 100_000, 100_000), ("<!x " * 1_000_000, 1), ("<title>x" * 300_000, 300_000), ("<" * 4_000_000, 1)])
+def test_broken_and_deep_pages_take_time_in_proportion(page, n):
+    start = time.time()
+    found = html_text.blocks(page)
+    html_text.vectors(found[:2000])
+    html_text.weak_labels(found)
+    assert time.time() - start < 12 and len(found) == n
