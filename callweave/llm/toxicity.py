@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
 
-from .common import stored
+from .common import stored, tasks
 
 # Bounds of the training sample, in documents, and of the features kept.
 POSITIVES, UNLABELLED, FEATURES = 4000, 8000, 1024
@@ -65,10 +65,12 @@ def below(hash_column, share):
 
 def smallest(rows, k, distinct):
     """(text) of the k rows of smallest draw among rows of (id, text), repeated rows once. `distinct` is about how many different ones there are: hashes
-    far above those of the k smallest are passed over before anything is sorted or moved."""
+    far above those of the k smallest are passed over first, then the k-th smallest is found among bare hashes; texts move last, a row at a time."""
     draw = F.xxhash64(F.lit("draw"), "id", "text")
     near = rows.select("text", draw.alias("draw"), F.xxhash64(F.lit("second"), "id", "text").alias("key")).where(below(F.col("draw"), (2 * k + 100) / max(1, distinct)))
-    return near.groupBy("draw", "key").agg(F.first("text").alias("text")).orderBy("draw", "key").limit(k).select("text")
+    last = near.select("draw").distinct().orderBy("draw").limit(k).agg(F.max("draw")).first()[0]
+    held = near.where(F.col("draw") <= F.lit(last if last is not None else 0))
+    return held.groupBy("draw", "key").agg(F.first("text").alias("text")).select("text")
 
 
 def sample(docs, labels, doc_id, text):
@@ -85,7 +87,8 @@ def sample(docs, labels, doc_id, text):
                        .agg(F.first("text").alias("text")), "toxicity-confirmed")
     some = smallest(fold, UNLABELLED, size).withColumn("positive", F.lit(False))
     positive = smallest(confirmed, POSITIVES, confirmed.count()).withColumn("positive", F.lit(True))
-    return stored(some.unionByName(positive).withColumnRenamed("text", text), "toxicity-sample"), toxic / n
+    both = some.unionByName(positive).withColumnRenamed("text", text)
+    return stored(both.repartition(tasks(docs.sparkSession)), "toxicity-sample"), toxic / n
 
 
 def choose(rows, text, limit=FEATURES):
