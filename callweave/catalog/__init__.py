@@ -1,6 +1,6 @@
 """The registered queries, by family."""
 
-from . import base, claims, journeys, patterns, quality, reporting, streams, transcripts, worklist  # noqa: F401
+from . import base, claims, files, journeys, patterns, quality, reporting, streams, transcripts, worklist  # noqa: F401
 
 
 def all_queries():

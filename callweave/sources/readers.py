@@ -3,8 +3,10 @@
 from functools import reduce
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.ingest import require_columns
+from .sinks import bucket_of
 
 LEDGER_SCHEMA = ("event_id string, recorded_at timestamp_ntz, stage string, call_id string, status string, system string, model string, "
                  "wall_seconds double, external_cost_inr double, audio_seconds double, input_tokens bigint, output_tokens bigint")
@@ -28,9 +30,25 @@ def artifacts(spark, folder, schema):
     return df.withColumn("artifact_id", F.regexp_extract("file", r"^(.*)\.json$", 1)).drop("file")
 
 
+def corpus(spark, path, schema, key=None, buckets=256):
+    """Documents that `sinks.write_corpus` wrote: id and the fields of `schema`, which is closed only by what it names. With a key, only that entity's
+    folder is read."""
+    rows = spark.read.schema("value string, bucket int").text(path)
+    if key is not None:
+        rows = rows.where(F.col("bucket") == bucket_of(F.lit(key), buckets))
+    rows = rows.select(F.from_json("value", f"id string, document struct<{schema}>").alias("x")).select("x.id", "x.document.*")
+    return rows if key is None else rows.where(F.col("id") == key)
+
+
+def transcript(spark, path, lead, buckets=256):
+    """One lead's lines of bucketed transcripts, in the order of their files."""
+    rows = spark.read.schema("value string, bucket int").text(path).where(F.col("bucket") == bucket_of(F.lit(lead), buckets))
+    return rows.where(F.col("value").startswith(f"{lead} ")).select("value")
+
+
 def ledger(spark, path, schema=LEDGER_SCHEMA):
-    """The append-only event ledger (JSON lines)."""
-    return spark.read.schema(schema).json(path)
+    """The append-only event ledger (JSON lines), appended to as files or as batches."""
+    return spark.read.schema(schema).json(path).select(*T.StructType.fromDDL(schema).names)
 
 
 def ledger_stream(spark, path, schema=LEDGER_SCHEMA, files_per_trigger=None):
