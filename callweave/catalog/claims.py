@@ -156,6 +156,62 @@ def tripwire(t):
     return cl.tripwire(kept, heard(t), ["call_id", "segment_id"])
 
 
+# A second transcript of every call, and one or two quotes of each claim.
+LISTENED = f"""independent as (select l.call_id, l.text || ' value said 1 3 5 7' || case when source_row % 4 = 1 then ' concern' else '' end as text from lines l join calls c on c.call_id = l.call_id),
+ quoted as (select call_id, item_pos, 0 as k, text as quote from items union all select call_id, item_pos, 1, 'Okay, the price' from items where resolution_segment_id is not null
+  union all select call_id, item_pos, 2, 'never said so' from items where response_segment_id = 2),
+ lvocab as (select distinct call_id, unnest({WORDS('text')}) as word from independent),
+ lw as (select call_id, item_pos, k, unnest({WORDS('quote')}) as word from quoted),
+ lshares as (select call_id, item_pos, k, avg(case when exists (select 1 from lvocab v where v.call_id = lw.call_id and v.word = lw.word) then 1.0 else 0.0 end) as share from lw group by all),
+ heard_all as (select call_id, item_pos, bool_and(coalesce(share >= 0.6, true)) as ok from lshares group by all),
+ held as (select m.*, tier in ('verified', 'verified_corrected') and not coalesce(ok, true) as unconfirmed from merged m left join heard_all h on h.call_id = m.call_id and h.item_pos = m.item_pos)"""
+LISTENED_BASE = f"with {ctes('calls', 'items', 'verdicts', 'purpose_verdicts', 'lines')}, {MERGED}, {LISTENED}"
+
+
+def held(t):
+    text = F.concat("text", F.lit(" value said 1 3 5 7"), F.when(F.col("source_row") % 4 == 1, " concern").otherwise(""))
+    independent = t.lines.join(t.calls.select("call_id", "source_row"), "call_id").select("call_id", text.alias("text"))
+    quotes = F.array_compact(F.array(F.struct(F.lit(0).alias("k"), F.col("text").alias("quote")),
+                                     F.when(F.col("resolution_segment_id").isNotNull(), F.struct(F.lit(1).alias("k"), F.lit("Okay, the price").alias("quote"))),
+                                     F.when(F.col("response_segment_id") == 2, F.struct(F.lit(2).alias("k"), F.lit("never said so").alias("quote")))))
+    rows = t.items.select("call_id", "item_pos", F.inline(quotes)).withColumn("citation_id", F.concat_ws("/", "call_id", "item_pos", "k"))
+    return cl.hold_unheard(merged(t), cl.heard_share(rows, independent))
+
+
+@query("tripwire_kept", LISTENED_BASE + " select call_id, item_pos, tier, tier in ('verified', 'verified_corrected') and not unconfirmed as kept, unconfirmed from held")
+def tripwire_kept(t):
+    """Kept claims lose those whose quotes the second transcript did not hear."""
+    return held(t).select("call_id", "item_pos", "tier", "kept", "unconfirmed")
+
+
+@query("tripwire_tiers", LISTENED_BASE + " select collection, tier, count(*) as claims, count(*) filter (unconfirmed) as of_which_unconfirmed from held group by 1, 2")
+def tripwire_tiers(t):
+    """Claims per tier, and how many of them are unconfirmed."""
+    return cl.held_tier_counts(held(t), ["collection"])
+
+
+@query("tripwire_review", LISTENED_BASE + f""" select h.call_id, h.collection, h.item_pos, case when unconfirmed then 'unconfirmed' else tier end as tier, h.verdict,
+ case when unconfirmed then '{cl.UNCONFIRMED_REASON}' else j.reason end as reason from held h join judged j on j.call_id = h.call_id and j.item_pos = h.item_pos
+ where unconfirmed or tier not in ('verified', 'verified_corrected')""")
+def tripwire_review(t):
+    """The review queue with unconfirmed claims in it."""
+    return cl.review_entries(held(t))
+
+
+@query("unsupported_evidence", f"""with {ctes('items', 'purpose_verdicts', 'lines')}, n as (select *, collection || '[' || row_number() over (partition by call_id, collection order by item_pos) - 1 || '].' as spot from items),
+ e as (select call_id, spot || 'evidence' as place, segment_id, 'Okay, um the price' as quote from n
+  union all select call_id, spot || 'response_evidence', response_segment_id, 'price is 1' from n where response_segment_id is not null
+  union all select call_id, spot || 'resolution_evidence', resolution_segment_id, 'no such words' from n where resolution_segment_id is not null
+  union all select call_id, 'purpose_evidence', purpose_segment_id, 'is 2' from purpose_verdicts where purpose_segment_id is not null)
+ select e.call_id, place as problem from e left join lines l on l.call_id = e.call_id and l.segment_id = e.segment_id
+ where l.text is null or not contains({NORMALISE('l.text')}, {NORMALISE('e.quote')})""")
+def unsupported_evidence(t):
+    """Every citation of the extractions, the purpose's too, that its segment does not bear out."""
+    words = {"evidence": "Okay, um the price", "response_evidence": "price is 1", "resolution_evidence": "no such words", "purpose_evidence": "is 2"}
+    rows = cl.evidence_rows(t.items, t.purpose_verdicts, lambda key: F.lit(words[key]))
+    return cl.unsupported_places(rows, t.lines.select("call_id", "segment_id", "text"))
+
+
 # One extraction file per call, with a break of each kind in some of them.
 FILES = """i as (select *, row_number() over (partition by call_id, collection order by item_pos) - 1 as n, collection || '[' || (row_number() over (partition by call_id, collection order by item_pos) - 1) || ']' as spot
   from items), k as (select call_id, source_row as k from calls), ok as (select call_id, k from k where k % 29 > 0)"""

@@ -241,3 +241,39 @@ def profile_citation_text(t):
     """The cited words and their time, copied from the lines."""
     return t.profile_refs.join(t.lines, ["call_id", "segment_id"]).select(
         "lead", "field", "call_id", "segment_id", F.col("start").cast("double").alias("start"), F.col("text").alias("quote"))
+
+
+# Twelve traits, those the tables lack made from what they have, each cited from the calls whose number gives its place.
+_TRAITS = """t as (select p.lead, p.experience_years::varchar as experience_years, fresher, background, career_gap, employment, current_role_group, 'company ' || nation as company, location_group,
+   case when balance > 0 then balance::varchar end as salary_lpa, case when balance > 5000 then 'unknown' else 'data_engineering' end as target_role_group, motivation,
+   case when segment = 'BUILDING' then 'unknown' else 'self' end as buyer_for from profiles p join leads l on l.lead = p.lead)"""
+
+
+def traits(t):
+    from ..operators import schemas
+    own = t.profiles.join(t.leads, "lead")
+    values = own.select("lead", F.col("experience_years").cast("string").alias("experience_years"), "fresher", "background", "career_gap", "employment", "current_role_group",
+                        F.concat(F.lit("company "), "nation").alias("company"), "location_group", F.when(F.col("balance") > 0, F.col("balance").cast("string")).alias("salary_lpa"),
+                        F.when(F.col("balance") > 5000, "unknown").otherwise("data_engineering").alias("target_role_group"), "motivation",
+                        F.when(F.col("segment") == "BUILDING", "unknown").otherwise("self").alias("buyer_for"))
+    ref = lambda i: F.collect_list(F.when(F.col("source_row") % 12 == i, F.struct("call_id", (F.col("source_row") % 5).cast("bigint").alias("segment_id"))))
+    refs = t.calls.groupBy("lead").agg(*[ref(i).alias(f"{name}_evidence") for i, (_, _, name) in enumerate(schemas.TRAITS)])
+    return values.join(refs, "lead", "left")
+
+
+_LONG = " union all ".join(f"select lead, {i} as i, '{n}' as trait, {v} as value from t" for i, (v, n) in enumerate(
+    [("experience_years", "experience"), ("fresher", "fresher"), ("background", "background"), ("career_gap", "career_gap"), ("employment", "employment"),
+     ("current_role_group", "current_role"), ("company", "company"), ("location_group", "location"), ("salary_lpa", "salary"), ("target_role_group", "target_role"),
+     ("motivation", "motivation"), ("buyer_for", "buyer_for")]))
+
+
+@query("profile_trait_citations", f"""with {ctes('calls', 'lines', 'profiles', 'leads')}, {_TRAITS}, long as ({_LONG}), refs as (select lead, source_row % 12 as i, call_id, source_row % 5 as segment_id from calls)
+ select lead, trait || ': a known value needs evidence' as problem from long l where value is not null and value not in ('unknown', 'not_mentioned', '')
+   and not exists (select 1 from refs r where r.lead = l.lead and r.i = l.i)
+ union all select r.lead, trait || ': reference ' || r.call_id || '#' || r.segment_id || ' is not one of the shown lines' from refs r join long l on l.lead = r.lead and l.i = r.i
+   where not exists (select 1 from lines s where s.call_id = r.call_id and s.segment_id = r.segment_id)""")
+def profile_trait_citations(t):
+    """All twelve traits of a profile against the lines they cite."""
+    from ..operators import schemas
+    shown = t.lines.join(t.calls.select("call_id", "lead"), "call_id").select("lead", "call_id", "segment_id")
+    return schemas.trait_citations(traits(t), shown)

@@ -64,10 +64,9 @@ def narrative_counts(t):
 
 HUMAN = lambda d: f"(day({d}) || ' ' || ['Jan','Feb','Mar','Apr','May','Jun','Jul','Aug','Sep','Oct','Nov','Dec'][month({d})] || ' ' || year({d}))"
 CLOCK = lambda s: f"printf('%02d:%02d', cast(floor({s} / 60) as bigint), cast(floor({s}) as bigint) % 60)"
-CITE = lambda label, a: (f"{label} || ': call of ' || {HUMAN(a + '.day')} || coalesce(' ' || strftime({a}.created_on, '%H:%M'), '') || ', minute ' || "
+CITE = lambda label, a: (f"{label} || ': call of ' || coalesce({HUMAN(a + '.day')}, {a}.date) || coalesce(' ' || strftime({a}.created_on, '%H:%M'), '') || ', minute ' || "
                          f"{CLOCK(a + '.start_seconds')} || ': “' || {a}.quote || '”'")
-CITED = """cited as (select e.*, try_cast(e.date as date) as day, c.created_on from coding_evidence e left join calls c on c.call_id = e.call_id
-  where try_cast(e.date as date) is not null)"""
+CITED = """cited as (select e.*, try_cast(e.date as date) as day, c.created_on from coding_evidence e left join calls c on c.call_id = e.call_id)"""
 PLACE = "case category when 'Check status' then 'status_check' when 'Outside target' then 'target_check' else 'stance' end"
 CONTEXT = "case category " + " ".join(f"when '{k}' then '{v.replace(chr(39), chr(39) * 2)}'" for k, v in wl.HISTORICAL_CONTEXT.items()) + " end"
 
@@ -95,6 +94,12 @@ def worklist_rows(t):
     return wl.worklist_rows(graded(t), t.coding_evidence, t.calls)
 
 
+@query("undated_citations", f"with {ctes('coding_evidence')} select lead, evidence_no, place, date from coding_evidence where try_cast(date as date) is null")
+def undated_citations(t):
+    """Citations that stop a publication until their date is mended."""
+    return wl.undated(t.coding_evidence)
+
+
 SUMMARY = "'Call about ' || status || ' for ' || cast(cast(floor(price) as bigint) as string)"
 TYPE_CASE = "case conversation_type " + " ".join(f"when '{k}' then '{v}'" for k, v in wl.TYPE_LABEL.items()) + " end"
 CALL_ROWS = f"""shown as (select lead, call_id, created_on, {HUMAN('created_on')} as date, {TYPE_CASE} as type,

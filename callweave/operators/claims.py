@@ -158,3 +158,48 @@ def tripwire(kept, heard, keys, key="citation_id"):
     """Kept claims all of whose quotes were heard, and the held ones. `heard` has the claim keys per quote."""
     verdict = heard.groupBy(*keys).agg(F.every("heard").alias("all_heard"))
     return kept.join(verdict, keys, "left").withColumn("confirmed", F.coalesce("all_heard", F.lit(True))).drop("all_heard")
+
+
+# ---- fixed value ----
+UNCONFIRMED_REASON = "The independent transcript did not hear these words; listen before use"
+# ---- end of fixed value ----
+
+
+def hold_unheard(merged, heard):
+    """Merged claims after the tripwire: a kept claim with a quote the independent transcript did not hear is unconfirmed and no longer kept. `heard` has
+    call_id, item_pos and heard per quote; a claim without quotes stays."""
+    verdict = heard.groupBy("call_id", "item_pos").agg(F.every("heard").alias("__all"))
+    rows = merged.join(verdict, ["call_id", "item_pos"], "left").withColumn("unconfirmed", F.col("kept") & ~F.coalesce("__all", F.lit(True)))
+    return rows.withColumn("kept", F.col("kept") & ~F.col("unconfirmed")).drop("__all")
+
+
+def review_entries(held):
+    """What a person has to look at: claims the verdicts did not keep, with their tier and reason, and unconfirmed ones with theirs."""
+    tier = F.when(F.col("unconfirmed"), "unconfirmed").otherwise(F.col("tier"))
+    return held.filter(~F.col("kept")).select("call_id", "collection", "item_pos", tier.alias("tier"), "verdict",
+                                              F.when(F.col("unconfirmed"), UNCONFIRMED_REASON).otherwise(F.col("reason")).alias("reason"))
+
+
+def held_tier_counts(held, by=()):
+    """Claims per tier; unconfirmed ones stay counted in the tier their verdict gave them, and are counted once more beside it."""
+    return held.groupBy(*by, "tier").agg(F.count(F.lit(1)).alias("claims"), F.count_if("unconfirmed").alias("of_which_unconfirmed"))
+
+
+def unsupported_places(evidence, segments):
+    """Places of evidence (call_id, place, segment_id, quote) whose quote is not in the cited segment, nor runs from it into a neighbour; a citation of
+    a segment that is not there is one too."""
+    marked = quote_support(evidence.withColumn("citation_id", F.concat_ws("/", "call_id", "place")), segments)
+    return marked.filter(~F.col("supported")).select("call_id", F.col("place").alias("problem"))
+
+
+def evidence_rows(items, purposes, quote):
+    """(call_id, place, segment_id) of every citation of extractions, with `quote(place key)` as its words: items by `collection[index].key`, the call's
+    purpose as purpose_evidence."""
+    index = positions(items, ["call_id", "collection"], ["item_pos"], F.left("item_pos", F.lit(9)), "__n")
+    at = F.concat("collection", F.lit("["), (F.col("__n") - 1).cast("string"), F.lit("]."))
+    keys = (("evidence", "segment_id"), ("response_evidence", "response_segment_id"), ("resolution_evidence", "resolution_segment_id"))
+    cells = F.array(*[F.struct(F.concat(at, F.lit(key)).alias("place"), F.col(column).alias("segment_id"), quote(key).alias("quote")) for key, column in keys])
+    rows = index.select("call_id", F.inline(cells)).where("segment_id is not null")
+    purpose = purposes.where("purpose_segment_id is not null").select(
+        "call_id", F.lit("purpose_evidence").alias("place"), F.col("purpose_segment_id").alias("segment_id"), quote("purpose_evidence").alias("quote"))
+    return rows.unionByName(purpose)

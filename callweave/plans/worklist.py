@@ -73,7 +73,7 @@ def category_counts(rows):
 
 def cite(label, evidence):
     """`Why: call of 1 Sep 2026 14:02, minute 01:02: “quote”` over an evidence struct with created_on."""
-    day = tx.human_date(evidence["day"])
+    day = F.when(evidence["day"].isNotNull(), tx.human_date(evidence["day"])).otherwise(evidence["date"])
     when = F.coalesce(F.concat(F.lit(" "), F.date_format(evidence["created_on"], "HH:mm")), F.lit(""))
     return F.concat(label, F.lit(": call of "), day, when, F.lit(", minute "), tx.clock(evidence["start_seconds"]), F.lit(": “"), evidence["quote"], F.lit("”"))
 
@@ -83,13 +83,18 @@ def _decisive_place(category):
 
 
 def _evidence_struct():
-    return F.struct("day", "created_on", "start_seconds", "quote", "topic", "detail", "evidence_no")
+    return F.struct("day", "date", "created_on", "start_seconds", "quote", "topic", "detail", "evidence_no")
+
+
+def undated(evidence):
+    """Citations whose date is no day, as (lead, evidence_no, place, date): a publication with any is refused, a table shows the text as it stands."""
+    return evidence.filter(F.col("date").try_cast("date").isNull()).select("lead", "evidence_no", "place", "date")
 
 
 def worklist_rows(rows, evidence, calls, signed=None):
     """Published rows. `rows` are graded codings, `evidence` their citations; open objections beyond one part's lines
     continue on further rows of the lead (part 2, 3, ...)."""
-    cited = evidence.withColumn("day", F.col("date").try_cast("date")).filter(F.col("day").isNotNull()).join(
+    cited = evidence.withColumn("day", F.col("date").try_cast("date")).join(
         calls.select("call_id", "created_on"), "call_id", "left")
     wanted = rows.select("lead", _decisive_place(F.col("category")).alias("place"))
     decisive = cited.join(wanted, ["lead", "place"], "left_semi").groupBy("lead").agg(F.min_by(_evidence_struct(), "evidence_no").alias("decisive"))
@@ -207,12 +212,15 @@ def review_claims(rows, evidence):
 
 
 def review_sheet(claims, prior):
-    """Claims with earlier signatures kept; of several prior rows of a (lead, claim, quote) the latest reviewed counts."""
-    fields = ["verdict", "note", "reviewer", "reviewed_at"]
-    latest = prior.groupBy("lead", "claim", "quote").agg(F.max_by(F.struct(*fields), F.coalesce("reviewed_at", F.lit(""))).alias("p"))
-    kept = latest.select("lead", "claim", "quote", *[F.col(f"p.{f}").alias("__" + f) for f in fields])
-    return claims.join(kept, ["lead", "claim", "quote"], "left").select(
-        *claims.columns, *[F.coalesce("__" + f, F.lit("")).alias(f) for f in fields])
+    """Claims with earlier rows kept whole: of several prior rows of a (lead, claim, quote) the latest reviewed counts, of equal ones that of the greatest
+    content; what a prior row has (category, date and time as well) stands, the rest is the claim's."""
+    keys, fields = ["lead", "claim", "quote"], ["verdict", "note", "reviewer", "reviewed_at"]
+    held = [c for c in prior.columns if c not in keys]
+    latest = prior.groupBy(*keys).agg(F.max(F.struct(F.coalesce("reviewed_at", F.lit("")).alias("__at"), *held)).alias("p"))
+    kept = latest.select(*keys, F.lit(True).alias("__had"), *[F.col(f"p.{f}").alias("__" + f) for f in held])
+    rows = claims.join(kept, keys, "left")
+    whole = [F.when(F.col("__had"), F.col("__" + c)).otherwise(F.col(c)).alias(c) if c in held else F.col(c) for c in claims.columns]
+    return rows.select(*whole, *[F.coalesce("__" + f if f in held else F.lit(None).cast("string"), F.lit("")).alias(f) for f in fields])
 
 
 def is_signed():

@@ -77,3 +77,22 @@ def test_call_rows_show_objections_and_next_step(spark):
     rows = pb.call_rows(calls, spark.createDataFrame([("C1", "s")], "call_id string, summary string"), objections, spark.createDataFrame([("C1", None), ("C2", "Ring")], "call_id string, next_action string"))
     assert {r.call_id: (r.objections, r.next_step) for r in rows.collect()} == {
         "C1": ("Price (unclear): dear\nCourse fit (partly addressed): too long\nTime (not addressed): none", ""), "C2": ("None", "Ring")}
+
+
+def test_a_bad_date_is_shown_reported_and_refused(spark, leads, tmp_path):
+    from callweave.plans import worklist as wl
+    evidence = spark.createDataFrame([("1", 1, "stance", "2026-02-30"), ("1", 2, "stance", "2026-02-28"), ("2", 3, "stance", None)], "lead string, evidence_no int, place string, date string")
+    bad = wl.undated(evidence)
+    assert sorted((r.lead, r.evidence_no) for r in bad.collect()) == [("1", 1), ("2", 3)]
+    record = pb.freeze(spark, str(tmp_path), "2026-04-30", leads, leads.limit(0), NOW)
+    with pytest.raises(ValueError, match="Citations without a date.*2026-02-30"):
+        pb.publish(spark, tables(spark), str(tmp_path), record, {"Citations without a date": bad}, NOW)
+
+
+def test_earlier_review_rows_stand_whole(spark):
+    from callweave.plans import worklist as wl
+    claims = spark.createDataFrame([("1", "Hot", "c", "2026-01-01", "00:10", "q"), ("2", "Warm", "c", "2026-01-01", "00:10", "q")], "lead string, category string, claim string, date string, timestamp string, quote string")
+    prior = spark.createDataFrame([("1", "Warm", "c", "2025-12-01", "00:05", "q", "Confirmed", "n", "r", "2026-02-01"), ("1", "Cold", "c", "2025-11-01", "00:04", "q", "Wrong", "n", "r", "2026-01-01")],
+                                  "lead string, category string, claim string, date string, timestamp string, quote string, verdict string, note string, reviewer string, reviewed_at string")
+    rows = {r.lead: tuple(r) for r in wl.review_sheet(claims, prior).collect()}
+    assert rows == {"1": ("1", "Warm", "c", "2025-12-01", "00:05", "q", "Confirmed", "n", "r", "2026-02-01"), "2": ("2", "Warm", "c", "2026-01-01", "00:10", "q", "", "", "", "")}
