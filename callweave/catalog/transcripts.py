@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ..operators import align, consensus as cs, redact
 from ..sources.bindings import ctes
-from .base import query, rounded
+from .base import ORACLE, query, rounded
 
 COMPACT = lambda s: f"regexp_replace(lower({s}), '[\\s.:]', '', 'g')"
 VOTED = f"""voted as (select *, case when {COMPACT('whisper')} = {COMPACT('gemini')} and {COMPACT('whisper')} = {COMPACT('sarvam')} then 'agreed'
@@ -153,10 +153,20 @@ LABELLED = """labelled as (select 'T' || conv_id || '-' || turn as call_id, 'int
   from g where n > 0 group by 1, 2)
  select call_id, row_number() over (partition by call_id order by n)::int as turn, case who when 'Agent' then 'agent' else 'prospect' end as role, text from b where text <> ''""")
 def parse_turns(t):
-    labelled = t.raw("conversations").select(F.expr("'T' || conv_id || '-' || turn").alias("call_id"), F.expr(
+    return cs.parse_turns(labelled(t))
+
+
+def labelled(t):
+    return t.raw("conversations").select(F.expr("'T' || conv_id || '-' || turn").alias("call_id"), F.expr(
         """'intro\\n' || case when turn % 2 = 0 then 'Agent: ' else '**Customer:** ' end || text || '\\n'
         || case when turn % 3 = 0 then ' still talking \\n\\n' else '' end || 'Customer: ok' || case when turn % 4 = 0 then '\\r\\nAgent:' else '' end""").alias("text"))
-    return cs.parse_turns(labelled)
+
+
+@query("parse_turns_lateral", ORACLE["parse_turns"])
+def parse_turns_lateral(t):
+    """The table function over the same texts."""
+    cs.register_parse_turns(t.spark)
+    return t.spark.sql("select l.call_id, x.turn, x.role, x.text from {texts} l, lateral parse_turns(l.text) x", texts=labelled(t))
 
 
 @query("provider_turns", """with o as (select doc_id, to_json({'transcript': case when doc_id % 3 = 0 then null else lang end, 'diarized_transcript': {'entries': [

@@ -165,6 +165,32 @@ def parse_turns(texts, key="call_id", text="text"):
         key, (F.col("at") + 1).alias("turn"), "x.role", "x.text")
 
 
+@F.udtf(returnType="turn: int, role: string, text: string")
+class ParseTurns:
+    """The same cut as a table function for lateral joins, `select ... from t, lateral parse_turns(t.text)`; a null text has no turns."""
+
+    def eval(self, text: str):
+        import re
+        label, turns = re.compile(r"\s*\**(Agent|Customer)\**\s*:\s*\**\s*"), []
+        for line in re.split("\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]", text or ""):
+            found = label.match(line)
+            if found:
+                turns.append(("agent" if found[1] == "Agent" else "prospect", [line[found.end():].strip(" ")]))
+            elif turns and line.strip(" "):
+                turns[-1][1].append(line.strip(" "))
+        number = 0
+        for role, lines in turns:
+            said = " ".join(lines)
+            if said:
+                number += 1
+                yield number, role, said
+
+
+def register_parse_turns(spark, name="parse_turns"):
+    """Make the table function known to SQL."""
+    spark.udtf.register(name, ParseTurns)
+
+
 PROVIDER_SCHEMA = ("transcript string, diarized_transcript struct<entries: array<struct<speaker_id: string, transcript: string, "
                    "start_time_seconds: double, end_time_seconds: double>>>")
 

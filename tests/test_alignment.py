@@ -29,34 +29,32 @@ def shares(spark, mine, heard):
     return rows, align.call_agreement(owners).first()["agreement"]
 
 
-def plain_owners(words, owners, theirs):
-    """Owner of each of the other system's words and the matched positions, by opcodes."""
-    got, hits = {}, set()
-    for tag, i1, i2, j1, j2 in SequenceMatcher(None, words, theirs, autojunk=False).get_opcodes():
-        hits |= set(range(i1, i2)) if tag == "equal" else set()
-        for j in range(j1, j2):
-            i = min(i1, len(words) - 1) if i1 == i2 else i1 + (j - j1) * (i2 - i1) // (j2 - j1)
-            got[j] = (owners[i] if words else None, tag == "equal")
-    return got, hits
-
-
-def test_owners_of_random_calls_equal_the_plain_statement(spark):
+def test_owners_keep_order_meet_equal_words_and_share_gaps_evenly(spark):
     rng = random.Random(21)
-    base, other, want = [], [], {}
+    base, other, words = [], [], {}
     for n in range(14):
-        a, b = [[rng.choice(LEXICON) for _ in range(rng.randrange(lo, 50))] for lo in (1, 0)]
-        cuts = sorted(rng.randrange(len(a) + 1) for _ in range(3))
-        owner = [sum(i >= c for c in cuts) for i in range(len(a))]
-        for s in set(owner):
-            base.append((f"K{n}", s, " ".join(w for w, o in zip(a, owner) if o == s)))
+        a, b = [[rng.choice(LEXICON) for _ in range(rng.randrange(low, 50))] for low in (1, 0)]
+        base += [(f"K{n}", i, w) for i, w in enumerate(a)]  # every word is a segment, so an owner is a word
         other.append((f"K{n}", 7, " ".join(b)))
-        want[f"K{n}"] = plain_owners(a, owner, b)
-    rows = owners_of(spark, base, other).collect()
-    for call, (theirs, hits) in want.items():
-        mine = [r for r in rows if r.call_id == call]
-        assert {r.at: (r.owner, r.matched) for r in mine if r.side == "other"} == theirs
-        assert {r.at for r in mine if r.side == "base" and r.matched} == hits
-        assert {r.turn for r in mine if r.side == "other"} <= {7}
+        words[f"K{n}"] = a, b
+    found = {}
+    for r in owners_of(spark, base, other).collect():
+        found.setdefault((r.call_id, r.side), []).append(r)
+    for call, (a, b) in words.items():
+        mine, theirs = (sorted(found.get((call, side), []), key=lambda r: r.at) for side in ("base", "other"))
+        assert [r.word for r in mine] == a and [r.word for r in theirs] == b and {r.turn for r in theirs} <= {7}
+        owned = [r.owner for r in theirs]
+        assert owned == sorted(owned) and all(0 <= o < len(a) for o in owned)
+        met = [r for r in theirs if r.matched]
+        assert [r.owner for r in met] == [r.at for r in mine if r.matched] and all(a[r.owner] == r.word for r in met)
+        assert not b or met or not set(a) & set(b)
+        # Between two met words, the other system's words fall evenly on the words it has there.
+        ends = [(-1, -1), *[(r.owner, r.at) for r in met], (len(a), len(b))]
+        for (i0, j0), (i1, j1) in zip(ends, ends[1:]):
+            shares = Counter(owned[j0 + 1:j1])
+            if i1 - i0 > 1 and shares:
+                counts = [shares[i] for i in range(i0 + 1, i1)]
+                assert sum(counts) == j1 - j0 - 1 and max(counts) - min(counts) <= 1
 
 
 def test_cutting_a_text_differently_changes_nothing(spark):
@@ -212,3 +210,20 @@ def test_a_quote_is_heard_if_its_words_are(spark):
     quotes = frame(spark, [(1, "A", "four copper ladders"), (2, "A", "a purple mirror shop"), (3, "A", "um")], "citation_id bigint, call_id string, quote string")
     heard = frame(spark, [("A", "we sold four copper ladders near the harbor")], "call_id string, text string")
     assert {r.citation_id: r.heard for r in heard_share(quotes, heard).collect()} == {1: True, 2: False, 3: True}
+
+
+def test_shared_characters_bound_every_ratio(spark):
+    rng = random.Random(31)
+    pairs = [("".join(rng.choice("abcdé日 ") for _ in range(rng.randrange(30))), "".join(rng.choice("abcdé日 ") for _ in range(rng.randrange(30)))) for _ in range(150)]
+    df = frame(spark, pairs, "a string, b string")
+    for r in df.select("a", "b", align.shared_characters(F.col("a"), F.col("b")).alias("n")).collect():
+        assert r.n == sum((Counter(r.a) & Counter(r.b)).values())
+        assert SequenceMatcher(None, r.a, r.b, autojunk=False).ratio() * (len(r.a) + len(r.b)) <= 2 * r.n + 1e-9
+
+
+def test_the_table_function_cuts_turns_like_the_columns(spark):
+    texts = ["Agent: hi\nthere\n\nCustomer: yes", "intro\n**Customer:** a \r\n b\rAgent:\n", "", None, "no label", "Agent: x\x85y  z\nAgent : **  w", " *Agent*: q"]
+    df = frame(spark, list(enumerate(texts)), "call_id int, text string")
+    cs.register_parse_turns(spark)
+    got = spark.sql("select l.call_id, x.* from {df} l, lateral parse_turns(l.text) x", df=df)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, cs.parse_turns(df).collect()))
