@@ -284,6 +284,29 @@ def stitch_pieces(t):
     return align.stitch(rows.filter(F.col("piece") >= 0))
 
 
+@query("stitch_pieces_named", f"""with {NAMED}, p as (select call_id, unnest([segment_id, segment_id - 1]) as piece, segment_id as turn, n from n),
+ k as (select p.*, piece > 0 and (coalesce(o.n, 0) < 6 or o.n > 344) as loose from p left join n o on o.call_id = p.call_id and o.segment_id = p.piece where piece >= 0 and p.n > 0),
+ left_ as (select *, case when piece > 0 and not loose and turn = piece then least(n, 200) else 0 end as cut from k)
+ select call_id, piece::bigint as piece, turn::bigint as turn, array_to_string(list_transform(range(cut + 1, n + 1), lambda i: 'w' || turn || 'n' || i), ' ') as text,
+  case when loose and turn = min(turn) over (partition by call_id, piece) then 'join_' || piece || '_unmatched' end as flag from left_ where cut < n""")
+def stitch_pieces_named(t):
+    """Pieces of two turns each, where every word has a name: a repeated turn is cut where six words and more of the last 150 stand among the first 200."""
+    said, _ = named_words(t)
+    rows = said.select("call_id", F.explode(F.array(F.col("segment_id"), F.col("segment_id") - 1)).alias("piece"), F.col("segment_id").alias("turn"), "role", "text")
+    return align.stitch(rows.filter(F.col("piece") >= 0)).select("call_id", "piece", "turn", "text", "flag")
+
+
+@query("timed_turns_named", f"""with {NAMED}, h as (select call_id, segment_id as turn, case when n - dropped - swapped > 0 then segment_id * 20.0 end::double as heard_at from parts),
+ m as (select *, greatest(coalesce(max(heard_at) over (partition by call_id order by turn rows unbounded preceding), 0), 0) as start from h)
+ select call_id, turn::bigint as turn, start, coalesce(heard_at >= start, false) as timed, lead(start) over (partition by call_id order by turn) as "end" from m""")
+def timed_turns_named(t):
+    """Turns timed by the other system's passages, where every word has a name."""
+    said, heard = named_words(t)
+    turns = said.select("call_id", F.col("segment_id").alias("turn"), "role", "text")
+    rows = align.timed_segments(turns, heard.select("call_id", "segment_id", "text", F.col("start").cast("double").alias("start")))
+    return rows.select("call_id", F.col("turn").cast("bigint").alias("turn"), "start", "timed", "end")
+
+
 @query("word_error_rate")
 def word_error_rate(t):
     pairs = t.segments.select("call_id", "segment_id", F.col("text").alias("reference")).join(

@@ -169,7 +169,7 @@ def first_heard(turns, passages):
                 rows += [(call, turn, segment) for turn, segment in seen.items()]
             yield pd.DataFrame(rows, columns=["call_id", "turn", "segment_id"])
 
-    heard = spread(pairs, "call_id").mapInPandas(match, "call_id string, turn bigint, segment_id bigint")
+    heard = settle(spread(pairs, "call_id").mapInPandas(match, "call_id string, turn bigint, segment_id bigint"))
     heard = heard.join(passages.select("call_id", "segment_id", F.col("start").alias("heard_at")), ["call_id", "segment_id"]).drop("segment_id")
     return turns.join(heard, ["call_id", "turn"], "left")
 
