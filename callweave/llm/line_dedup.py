@@ -1,8 +1,8 @@
 """Line deduplication by a deletion-neighbourhood join (DataFrame functions only).
 
 Two lines are near if one word edit (insert, delete or replace) or none turns one into the other. A line goes if an equal
-line, or a near one, stands earlier in the corpus, in the order of (document id, line number). Lines of fewer than MIN_WORDS
-words are too short to be called copies and always stay.
+line, or a near one, stands earlier in the corpus, in the order of (document id, line number). Equal lines go whatever their length, and in
+scripts without spaces too; lines of fewer than MIN_WORDS words are too short for an edit and are near to none but equal ones.
 
 Equal lines are one class. A class can only have a near one if the two share their first or their last half; a bitmap of
 shared halves leaves all others out, so that only the text of candidates is moved. Candidates emit, for every word, a hashed
@@ -13,7 +13,7 @@ one row per line. The edit distance to that earliest line is verified on the wor
 
 Words are separated by spaces; their case counts.
 
-Cases: a null text has no lines and stays null; empty lines stay; null ids come first in the order; rows with equal id and
+Cases: a null text has no lines and stays null; lines of nothing but spaces stay; null ids come first in the order; rows with equal id and
 text are one document, each keeps its row; an empty table gives no rows; extra columns pass through.
 """
 
@@ -103,8 +103,9 @@ def earlier_near(held):
 
 def repeated_lines(docs, doc_id="doc_id", text="text"):
     """(id, doc, gone): per document (id and text hash) the numbers of the lines that go."""
-    lines = split_lines(docs, doc_id, text).select("at", line_words(F.col("line")).alias("words")).where(F.size("words") >= MIN_WORDS)
-    rows = stored(lines.select("at", F.xxhash64("words").alias("a"), F.xxhash64(F.lit("second"), "words").alias("b"), halves(F.col("words")).alias("halves")), "lines")
+    lines = split_lines(docs, doc_id, text).select("at", line_words(F.col("line")).alias("words")).where(F.size("words") > 0)
+    near = F.when(F.size("words") >= MIN_WORDS, halves(F.col("words"))).otherwise(F.array().cast("array<bigint>"))
+    rows = stored(lines.select("at", F.xxhash64("words").alias("a"), F.xxhash64(F.lit("second"), "words").alias("b"), near.alias("halves")), "lines")
     near = earlier_near(candidates(docs, doc_id, text, rows)).withColumn("near", F.lit(True))
     classes = rows.groupBy("a", "b").agg(F.min("at").alias("first"), F.max("at").alias("last"))
     held = (classes.join(near.withColumnRenamed("at", "first"), "first", "left")

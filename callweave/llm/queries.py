@@ -54,11 +54,12 @@ def op7(spark, sf_dir):
 OP4 = """
 WITH l AS (SELECT doc_id, no - 1 AS no, list_filter(string_split(lines[no], ' '), lambda w: w <> '') AS ws
            FROM (SELECT doc_id, string_split(text, chr(10)) AS lines, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS no FROM documents)),
-c AS (SELECT ws, min((doc_id, no)) AS place FROM l WHERE len(ws) >= 5 GROUP BY ws),
-v AS (SELECT place, i, ws[:i - 1] || ws[i + 1:] AS cut FROM (SELECT place, ws, unnest(range(1, len(ws) + 1)) AS i FROM c)),
+c AS (SELECT ws, min((doc_id, no)) AS place FROM l WHERE len(ws) > 0 GROUP BY ws),
+m AS (SELECT * FROM c WHERE len(ws) >= 5),
+v AS (SELECT place, i, ws[:i - 1] || ws[i + 1:] AS cut FROM (SELECT place, ws, unnest(range(1, len(ws) + 1)) AS i FROM m)),
 near AS (SELECT x.place FROM v x JOIN v y ON x.cut = y.cut AND x.i = y.i WHERE y.place < x.place
-         UNION SELECT x.place FROM v x JOIN c y ON x.cut = y.ws WHERE y.place < x.place
-         UNION SELECT x.place FROM c x JOIN v y ON x.ws = y.cut WHERE y.place < x.place),
+         UNION SELECT x.place FROM v x JOIN m y ON x.cut = y.ws WHERE y.place < x.place
+         UNION SELECT x.place FROM m x JOIN v y ON x.ws = y.cut WHERE y.place < x.place),
 gone AS (SELECT l.doc_id, l.no FROM l JOIN c ON l.ws = c.ws WHERE (l.doc_id, l.no) <> c.place OR c.place IN (SELECT place FROM near)),
 per AS (SELECT doc_id, count(*) AS n, list(no) AS nos FROM gone GROUP BY doc_id)
 SELECT doc_id, CAST(coalesce(len(string_split(text, chr(10))), 0) AS BIGINT) AS n_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,

@@ -172,12 +172,13 @@ def test_lines_equal_brute_force(spark):
             at, what = rng.randrange(len(w)), rng.randrange(3)
             w[at:at + (what != 0)] = [] if what == 1 else [f"new{rng.randrange(4)}"]
         lines.append("  ".join(w) if rng.random() < 0.2 else " ".join(w))
-    docs = [(i, "\n".join(lines[i * 8:i * 8 + 8] + [""])) for i in range(20)] + [(50, None), (51, ""), (None, lines[0]), (7, "\n".join(lines[56:64] + [""]))]
+    lines[5:5], lines[90:90] = ["日本語の行です", "- yes", "one two three four", "  "], ["日本語の行です", "-  yes", "one two three five", "  ", "- no"]
+    docs = [(i, "\n".join(lines[i * 8:i * 8 + 8] + [""])) for i in range(21)] + [(50, None), (51, ""), (None, lines[0]), (7, "\n".join(lines[56:64] + [""]))]
     order = sorted({((-1 if i is None else i), n, tuple(x.split())) for i, t in docs if t for n, x in enumerate(t.split("\n"))})
     gone, earlier = set(), []
     for i, n, w in order:
-        if len(w) >= line_dedup.MIN_WORDS:
-            if any(edits(w, v) <= 1 for v in earlier):
+        if w:
+            if w in earlier or any(min(len(w), len(v)) >= line_dedup.MIN_WORDS and edits(w, v) <= 1 for v in earlier):
                 gone.add((i, n))
             earlier.append(w)
     want = [(i, None if t is None else "\n".join(x for n, x in enumerate(t.split("\n")) if ((-1 if i is None else i), n) not in gone)) for i, t in docs]
