@@ -169,6 +169,13 @@ def profile_fit(t):
     return pt.fit(pre_purchase(t.calls), t.profiles, t.profile_refs)
 
 
+@query("profile_fit_of_leads", f"with {BASE}, {RECORDS}, {EVIDENCE} select lead, case when lead::bigint % 5 = 0 then 'unknown' else fit end as fit from fits")
+def profile_fit_of_leads(t):
+    """Every fifth lead has no profile here."""
+    profiles = t.profiles.where(F.col("lead").cast("bigint") % 5 > 0)
+    return pt.fit_of(t.profiles, pt.fit(pre_purchase(t.calls), profiles, t.profile_refs))
+
+
 @query("evidence_display", f"""with {BASE}, {RECORDS}, {EVIDENCE}, e as (select *, {_er} as rate, {_el} as low, {_eh} as high from evidence)
  select category, customers, non_buyers_sampled, case when category = 'Hot' then 'Not shown: for most past customers this was said on the call where they paid'
   when customers < 10 or non_buyers_sampled < 5 then 'Too few past cases for a reliable rate'

@@ -94,8 +94,7 @@ def text_flags(texts, text="text"):
     """One row per text with a flag per wording guard; whole texts, one scan. The text is lowered once, which lets the
     patterns run case-sensitively, several times faster than folding case in every one."""
     rows = texts.withColumn("__low", F.lower(F.col(text)))
-    plain = lambda rx: rx.replace("(?iU)", "(?U)").replace("|AI|", "|ai|").replace("\\bC[0-9", "\\bc[0-9")
-    hit = lambda rx: F.col("__low").rlike(plain(rx))
+    hit = lambda rx: F.col("__low").rlike(tx.for_lowered(rx))
     return rows.select("doc_id", hit(tx.BANNED).alias("banned"), hit(tx.PRONOUNS).alias("pronoun"), hit(tx.CONTACT).alias("contact"),
                        hit(tx.RELATIVE_TIME).alias("relative_time"), (hit(tx.OFFER) & ~hit(tx.CONDITIONAL)).alias("offer"), hit(tx.INTERNAL_TEXT).alias("internal"))
 

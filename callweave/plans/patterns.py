@@ -190,6 +190,11 @@ def fit(pre, profiles, refs):
     return rows.select("lead", F.when(outside, "outside").otherwise("in_or_unknown").alias("fit"))
 
 
+def fit_of(leads, fits):
+    """The fit of every lead; one without a profile is unknown."""
+    return leads.select("lead").join(fits, "lead", "left").na.fill("unknown", ["fit"])
+
+
 def past_lead_evidence(calls, items, profiles, refs, rule=RULE, sample=OPEN_SAMPLE, population=OPEN_POPULATION):
     """Closed past leads by the category the rule would give them at their latest long pre-purchase conversation."""
     pre = pre_purchase(calls)

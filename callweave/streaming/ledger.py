@@ -26,13 +26,6 @@ def call_bursts(events, gap="30 minutes", delay="1 hour"):
     return grouped.select("call_id", F.col("session_window.start").alias("start_at"), F.col("session_window.end").alias("end_at"), "events")
 
 
-def closed_only(batch, events, delay, end="end_at"):
-    """The rows of a batch result whose window an append-mode stream over the same events has closed."""
-    from ..operators.small import with_scalar
-    latest = events.agg(F.max("recorded_at").cast("timestamp").alias("__latest"))
-    return with_scalar(batch, latest).filter(F.col(end) <= F.col("__latest") - F.expr(f"interval {delay}")).drop("__latest")
-
-
 def drain(stream, name, mode="append"):
     """Run a stream over everything available to Parquet and read the result. Offsets and state are on shared storage, so
     a restarted job goes on where it stopped."""
