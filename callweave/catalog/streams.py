@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ..sources.bindings import SQL, ctes
 from ..streaming import budget, late, ledger, refresh
-from .base import query, rounded
+from .base import ORACLE, query, rounded
 from .worklist import BASE, GRADED
 
 
@@ -87,6 +87,14 @@ def ledger_late_rows(t):
     return rounded(moments(rows, "start_at", "at"), 4)
 
 
+@query("ledger_replays_in_parts", ORACLE["ledger_stream_replays"])
+def ledger_replays_in_parts(t):
+    """Two halves of the ledger, each of them written a second time after both: every event comes out once."""
+    halves = [t.ledger.where(F.expr("day(recorded_at) div 16") == n) for n in range(2)]
+    rows = late.drain_parts([*halves, *halves], lambda stream: ledger.without_replays(stream, "60 days").select("event_id", "stage", "status"), "replays-in-parts")
+    return rows.where("event_id is not null")
+
+
 @query("call_bursts_settled", f"""with {ctes('ledger')}, g as (select *, case when recorded_at < lag(recorded_at) over w + interval 30 minutes then 0 else 1 end as new from ledger
    window w as (partition by call_id order by recorded_at, event_id)),
  s as (select *, sum(new) over (partition by call_id order by recorded_at, event_id rows unbounded preceding) as n from g)

@@ -314,7 +314,11 @@ def word_error_rate(t):
     return rounded(align.word_error_rate(align.word_edits(pairs)))
 
 
-@query("redact_names")
+@query("redact_names", f"""with {ctes('calls', 'leads')}, low as (select distinct unnest(regexp_extract_all(regexp_replace(text, '[^\\p{{L}}\\p{{N}}_]+', '  ', 'g'), '(^| )([a-z]{{3,}})( |$)', 2)) as word from documents),
+ n as (select c.call_id, c.lead, salesperson, conversation_type, 'the lead ' || nation as named,
+   case when 'agent' in (select word from low) then 'agent' else 'the counsellor' end as staff from calls c join leads l on l.lead = c.lead)
+ select call_id as text_id, lead, 'They told the ' || staff || ', ' || case when staff = 'agent' then 'Agent' else staff end || replace(salesperson, 'Agent', '') || ', that ' || named || ' called back; their lead'
+  || case when conversation_type like '%\\_%' escape '\\' then ' ' || upper(left(conversation_type, 1)) || substr(conversation_type, 2) else '' end || ', an engineer, thanked them.' as text from n""")
 def redact_names(t):
     """Customer segment words play lead names, agents staff names, over generated summaries of every call."""
     leads = t.leads.select("lead", F.concat("segment", F.lit(" "), "nation").alias("lead_name"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from ..session import settle
 from .guards import tokens
 
 # ---- fixed values ----
@@ -13,6 +14,8 @@ CALENDAR = ("january", "february", "march", "april", "may", "june", "july", "aug
             "jan", "feb", "mar", "apr", "jun", "jul", "aug", "sep", "sept", "oct", "nov", "dec",
             "monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday")
 NAME_WORD = r"[a-z]{3,}"
+# So many words may be sent to every task.
+FEW_WORDS = 100_000
 # ---- end of fixed values ----
 
 
@@ -34,11 +37,20 @@ def own_words(leads):
     return tokens(leads, ["lead"], F.col("lead_name"), NAME_WORD).distinct()
 
 
+def known_words(words, *lists):
+    """The words that any of the name lists has, each once: the corpus's distinct words are put together in every task before they meet the lists."""
+    names = reduce(DataFrame.unionByName, [names.select("word") for names in lists]).distinct()
+    return settle(words.select("word").distinct().join(names, "word"))
+
+
 def redact(texts, own, staff, lead_names, key="text_id"):
-    """Cleaned texts (key, lead, text). A text's distinct words meet the name lists in equi-joins, whose small sides Spark
-    broadcasts only while they are small; each text's hits come back as one map, so only texts with names are touched."""
+    """Cleaned texts (key, lead, text). Only words of the corpus that are names somewhere go on from a text: while these are few, which is counted, the
+    others are left out where the text stands, and no row per word is moved. Each text's hits come back as one map, so only texts with names are
+    touched."""
     ready = texts.withColumn("text", tx.drop_spoken_names(F.col("text")))
     words = tokens(ready, [key, "lead"], F.col("text"), r"(?U)\b[a-z]{3,}\b")
+    known = known_words(words, own, staff, lead_names)
+    words = words.join(F.broadcast(known) if known.count() <= FEW_WORDS else known, "word")
     hits = (words.join(own.withColumn("own", F.lit("the lead")), ["lead", "word"], "left")
             .join(staff.withColumn("staff", F.lit("the counsellor")), "word", "left")
             .join(lead_names.withColumn("other", F.lit("another person")), "word", "left"))
